@@ -46,3 +46,8 @@ def word_count(text: Column) -> Column:
     """Number of words of a text as a long; 0 for null."""
     bare = F.btrim(text, F.lit(SPACE))
     return F.when(F.coalesce(F.length(bare), F.lit(0)) == 0, F.lit(0)).otherwise(F.size(F.split(bare, f"{SPACE_CLASS}+"))).cast("long")
+
+
+def remainder(id_col: str, of: int) -> Column:
+    """crc32 of an id as text, modulo ``of``; a null id counts as the empty text."""
+    return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")), F.lit(0)) % of

@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import mixing, quality, sharding
-from strandline.llm._common import table
+from strandline.llm import bpe, language, mixing, quality, sharding, url_filter, warc_dedup
+from strandline.llm._common import remainder, table
+
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def vocabulary() -> str:
+    """Where the tokenizer's file is on this machine and, by the same import, on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = warc_dedup.deduplicate(table(spark, sf_dir, "pages"))
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,5 +38,29 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *[F.col(a).alias(b) for a, b in named.items()])
 
 
-QUERIES = {"op4_sharding": op4_sharding, "op5_mixing": op5_mixing, "op7_quality": op7_quality}
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = remainder("doc_id", 3) == 1
+    model = language.fit(docs.where(~held))
+    got = language.predict(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", held.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_langs").alias("langs"))
+
+
+QUERIES = {
+    "op3_warc": op3_warc,
+    "op4_sharding": op4_sharding,
+    "op5_mixing": op5_mixing,
+    "op7_quality": op7_quality,
+    "op8_urls": op8_urls,
+    "op9_bpe": op9_bpe,
+    "op10_language": op10_language,
+}
 ORACLE_SQL: dict[str, str] = {}
