@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, language, mixing, quality, sharding, url_filter, warc_dedup
+from strandline.llm import bpe, language, mixing, near_dedup, quality, sharding, url_filter, warc_dedup
 from strandline.llm._common import remainder, table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -18,6 +18,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = near_dedup.deduplicate(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return got.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = warc_dedup.deduplicate(table(spark, sf_dir, "pages"))
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,6 +60,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,

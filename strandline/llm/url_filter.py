@@ -79,12 +79,13 @@ def page_links(pages: DataFrame) -> DataFrame:
     )
     href = F.regexp_extract("canonical", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     goes = F.regexp_extract("refresh", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    found = with_target(tags.select("url", F.explode(F.array(href, goes)).alias("link")).where("link != ''"))
-    return edges(found, "url", "target")
+    found = cut(tags.select("url", F.explode(F.array(href, goes)).alias("link")).where("link != ''"))
+    return edges(with_target(found), "url", "target")
 
 
 def edges(df: DataFrame, source: str, target: str) -> DataFrame:
-    return with_node(with_node(df.select(source, target), source, "a"), target, "b").select("a", "b").where("a is not null and b is not null")
+    """Edges (a, b) between the nodes of two urls. Cut before anything is filtered: a filter pushed down would repeat the expressions."""
+    return cut(with_node(with_node(cut(df.select(source, target)), source, "a"), target, "b").select("a", "b"))
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None) -> DataFrame:
