@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, language, mixing, near_dedup, quality, sharding, url_filter, warc_dedup
+from strandline.llm import bpe, embedding_dedup, language, mixing, near_dedup, quality, sharding, url_filter, warc_dedup
 from strandline.llm._common import remainder, table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -37,6 +37,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = embedding_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return got.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.report(table(spark, sf_dir, "documents"))
     named = {"_n_words": "n_words", "_word_chars": "word_chars", "_n_symbols": "n_symbols", "_n_dup_lines": "n_dup_lines", "_n_repeat_words": "n_repeat_words", "_base_failed": "base_failed", "_kept": "kept", "_probability": "probability"}
@@ -64,6 +69,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_embeddings": op6_embeddings,
     "op7_quality": op7_quality,
     "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
