@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, embedding_dedup, language, mixing, near_dedup, quality, sharding, url_filter, warc_dedup
+from strandline.llm import bpe, embedding_dedup, language, lm, mixing, near_dedup, quality, sharding, url_filter, warc_dedup
 from strandline.llm._common import remainder, table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -23,6 +23,13 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = remainder("doc_id", 7) == 2
+    got = lm.score(docs, docs.where(~held))
+    return got.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = warc_dedup.deduplicate(table(spark, sf_dir, "pages"))
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -66,6 +73,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_lm": op2_lm,
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
