@@ -7,10 +7,11 @@ child on average). Nodes with ``LEAF`` classes or fewer are compared exhaustivel
 still large after ``DEPTHS[-1]`` levels, a group of close copies, is dealt into chunks of about ``LEAF`` at random, other chunks in
 each tree. The number of trees follows from the recall that is asked for at the second depth.
 
-Comparing in a node uses sketches and set sizes; every pair that comes near is a candidate. Links are confirmed on
-full sets only, in rounds: each component's best candidate first, then what still joins two components (a copy whose
-neighbours all failed is set against the most central members of their component as well). No round compares what
-is connected already, so a group of m copies costs about m confirmations, not m * m, and no candidate is left out.
+Comparing in a node uses sketches and set sizes; pairs that come near are candidates. A node first names the spanning
+forest of its candidates with the highest estimates, and links are confirmed on full sets, each component's best
+candidate before the others. A second look at the nodes then names every candidate that still lies between two components,
+and a copy that missed a component is set against that component's most central members as well. So a group of m
+copies costs about m confirmations for each tree, not m * m, and no candidate between components is left out.
 
 Words are split at ASCII white space with A-Z lower-cased. A text with fewer words than a shingle is one shingle; a
 null text or one without words has no shingles and is linked with nothing. Rows with the same id keep apart unless their texts
@@ -125,30 +126,61 @@ def _descend(n_trees: int, levels: int, second: float):
     return run
 
 
-def _pairs(percent: int, least: float):
-    """Candidates among rows (leaf, k, n, bits) sorted by leaf: every two of a leaf whose sizes and sketches allow it."""
+def _forest(i: np.ndarray, j: np.ndarray, est: np.ndarray) -> np.ndarray:
+    """Which edges make the spanning forest with the highest estimates."""
+    root = {x: x for x in np.concatenate([i, j]).tolist()}
+    kept = []
+    for e in np.argsort(-est, kind="stable").tolist():
+        a, b = int(i[e]), int(j[e])
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        while root[b] != b:
+            root[b] = root[root[b]]
+            b = root[b]
+        if a != b:
+            root[a] = b
+            kept.append(e)
+    return np.array(kept, np.int64)
 
-    def compare(runs: np.ndarray, k: np.ndarray, n: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+
+def _pairs(percent: int, least: float, labelled: bool):
+    """Candidates among rows (leaf, k, n, bits, label) sorted by leaf, by sizes and sketches.
+
+    A spanning forest for each leaf; if labelled, every pair whose labels differ.
+    """
+
+    def compare(runs: np.ndarray, k: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         first, second, score = [], [], []
 
-        def add(i: np.ndarray, j: np.ndarray, same: np.ndarray) -> None:
+        def near(i: np.ndarray, j: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, ...]:
             est = (same / POSITIONS - 1 / 256) / (1 - 1 / 256)
-            ok = (est >= least) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (k[i] != k[j])
-            first.append(np.minimum(k[i], k[j])[ok])
-            second.append(np.maximum(k[i], k[j])[ok])
-            score.append(est[ok])
+            ok = (est >= least) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (label[i] != label[j])
+            return i[ok], j[ok], est[ok]
+
+        def add(i: np.ndarray, j: np.ndarray, est: np.ndarray) -> None:
+            first.append(np.minimum(k[i], k[j]))
+            second.append(np.maximum(k[i], k[j]))
+            score.append(est)
 
         size = np.diff(runs)
         two = runs[:-1][size == 2]
         for a in range(0, len(two), 10_000):
             i = two[a : a + 10_000]
-            add(i, i + 1, (bits[i] == bits[i + 1]).sum(1))
+            add(*near(i, i + 1, (bits[i] == bits[i + 1]).sum(1)))
         for a, s in zip(runs[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            own = bits[a : a + s]
+            if (label[a : a + s] == label[a]).all():
+                continue
+            own, found = bits[a : a + s], []
             for b in range(0, s, 256):
                 same = np.stack([(own == own[c]).sum(1) for c in range(b, min(s, b + 256))])
                 i, j = np.nonzero(np.arange(b, b + len(same))[:, None] < np.arange(s)[None, :])
-                add(a + b + i, a + j, same[i, j])
+                found.append(near(a + b + i, a + j, same[i, j]))
+            i, j, est = (np.concatenate(x) for x in zip(*found, strict=True))
+            if not labelled and len(i) > 1:
+                kept = _forest(i, j, est)
+                i, j, est = i[kept], j[kept], est[kept]
+            add(i, j, est)
         if first:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (first, second, score)], names=["a", "b", "est"])
 
@@ -158,15 +190,15 @@ def _pairs(percent: int, least: float):
             for a in range(0, whole.num_rows, 50_000):
                 batch = whole.slice(a, 50_000)
                 bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(-1, POSITIONS)
-                held.append((batch.column("leaf").to_numpy(), batch.column("k").to_numpy(), batch.column("n").to_numpy(), bits))
-                leaf, k, n, bits = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.append((*(batch.column(c).to_numpy() for c in ("leaf", "k", "n", "label")), bits))
+                leaf, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
                 runs = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]])
-                yield from compare(runs, k, n, bits)
+                yield from compare(runs, *rest)
                 last = runs[-1]  # its leaf may go on
-                held = [(leaf[last:], k[last:], n[last:], bits[last:])]
+                held = [(leaf[last:], *(x[last:] for x in rest))]
         if held:
-            leaf, k, n, bits = held[0]
-            yield from compare(np.array([0, len(leaf)]), k, n, bits)
+            leaf, *rest = held[0]
+            yield from compare(np.array([0, len(leaf)]), *rest)
 
     return run
 
@@ -177,8 +209,8 @@ def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("n"), pa.array(bits, pa.binary())], names=["k", "n", "bits"])
 
 
-def candidates(classes: DataFrame, percent: int, recall: float) -> DataFrame:
-    """(a, b, est) with a < b: pairs of classes (k, n, sketch) that meet in a leaf and may be similar enough."""
+def nodes(classes: DataFrame, percent: int, recall: float) -> DataFrame:
+    """(leaf, k): the nodes of the classes (k, sketch) that are compared exhaustively."""
     similarity = percent / 100
     second, n_trees = 1 / similarity - 1, trees(similarity, recall)
     rows = classes.select("k", "sketch").mapInArrow(_descend(n_trees, DEPTHS[0], second), "node long, k long")
@@ -195,10 +227,17 @@ def candidates(classes: DataFrame, percent: int, recall: float) -> DataFrame:
             leaves.append(large.select(F.xxhash64("node", chunk).alias("leaf"), "k"))
         else:
             rows = large.select("node", "k").join(classes.select("k", "sketch"), "k").mapInArrow(_descend(n_trees, deeper - depth, second), "node long, k long")
+    return cut(reduce(DataFrame.union, leaves))
+
+
+def candidates(leaves: DataFrame, classes: DataFrame, percent: int, labels: DataFrame | None = None) -> DataFrame:
+    """(a, b, est) with a < b: forests of the leaves' candidates or, given labels (k, label), all between labels."""
+    similarity = percent / 100
     bits = classes.select("k", "n", "sketch").mapInArrow(_low_bytes, "k long, n long, bits binary")
-    dealt = reduce(DataFrame.union, leaves).join(bits, "k").select("leaf", "k", "n", "bits").repartition("leaf").sortWithinPartitions("leaf")
+    bits = bits.withColumn("label", F.col("k")) if labels is None else bits.join(labels, "k")
+    dealt = leaves.join(bits, "k").select("leaf", "k", "n", "label", "bits").repartition("leaf").sortWithinPartitions("leaf")
     least = similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / POSITIONS)
-    met = dealt.mapInArrow(_pairs(percent, least), "a long, b long, est double")
+    met = dealt.mapInArrow(_pairs(percent, least, labels is not None), "a long, b long, est double")
     return cut(met.groupBy("a", "b").agg(F.max("est").alias("est")))
 
 
@@ -217,31 +256,44 @@ def _confirm(percent: int):
 
 
 def _central(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(label, h): the HUBS members of each component with the highest mean estimate over five candidates or more."""
+    """(label, h): the HUBS members of each component with the most candidates of five or more."""
     ends = pairs.select(F.col("a").alias("k"), "est").union(pairs.select("b", "est"))
-    mean = ends.groupBy("k").agg(F.avg("est").alias("mean"), F.count("*").alias("c")).where("c >= 5").join(labels, "k")
+    best = ends.groupBy("k").agg(F.avg("est").alias("mean"), F.count("*").alias("c")).where("c >= 5").join(labels, "k")
     for by in (("label", "part"), ("label",)):  # by parts first, so a large component isn't sorted as one
-        order = Window.partitionBy(*by).orderBy(F.desc("mean"), "k")
-        mean = mean.withColumn("part", F.pmod(F.xxhash64("k"), 64)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
-    return mean.select("label", F.col("k").alias("h"))
+        order = Window.partitionBy(*by).orderBy(F.desc("c"), F.desc("mean"), "k")
+        best = best.withColumn("part", F.pmod(F.xxhash64("k"), 64)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
+    return best.select("label", F.col("k").alias("h"))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
-    """(k, label): components of the candidates (a, b, est) that hold on full sets (k, tokens)."""
+class _Links:
+    """Confirmed links, and the components that they make."""
 
-    def check(some: DataFrame) -> DataFrame:
-        left = some.select("a", "b").join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("x")), "a")
-        return left.join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent = sets, percent
+        self.links: DataFrame | None = None
+        self.labels: DataFrame | None = None
 
-    def named(live: DataFrame, labels: DataFrame) -> DataFrame:
-        live = live.join(labels.select(F.col("k").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("k").alias("b"), F.col("label").alias("lb")), "b", "left")
+    def between(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends are in different components, with these as la and lb."""
+        if self.labels is None:
+            return pairs.select("a", "b", "est", F.col("a").alias("la"), F.col("b").alias("lb"))
+        of = lambda k, name: self.labels.select(F.col("k").alias(k), F.col("label").alias(name))
+        live = pairs.join(of("a", "la"), "a", "left").join(of("b", "lb"), "b", "left")
         return live.select("a", "b", "est", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la != lb")
 
-    links = pairs.select("a", "b").limit(0)
-    labels = links.select(F.col("a").alias("k"), F.col("b").alias("label"))
-    live = pairs
+    def confirm(self, pairs: DataFrame) -> None:
+        left = pairs.select("a", "b").join(self.sets.select(F.col("k").alias("a"), F.col("tokens").alias("x")), "a")
+        both = left.join(self.sets.select(F.col("k").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
+        found = both.mapInArrow(_confirm(self.percent), "a long, b long")
+        self.links = cut(found if self.links is None else self.links.union(found))
+        self.labels = components(self.links).select(F.col("node").alias("k"), F.col("component").alias("label"))
+
+
+def connect(first: DataFrame, again, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame | None:
+    """(k, label): components on full sets (k, tokens). first: candidates (a, b, est); again: from labels of all classes in first to further ones."""
+    state, live = _Links(sets, percent), first
     for turn in range(rounds + 1):
-        live = cut(named(live, labels))
+        live = cut(state.between(live))
         if live.isEmpty():
             break
         some = live
@@ -249,13 +301,16 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) ->
             best = live.select("la", "est", "a", "b").union(live.select("lb", "est", "a", "b")).groupBy("la").agg(F.max(F.struct("est", "a", "b")).alias("e"))
             some = cut(best.select("e.a", "e.b").distinct())
             live = live.select("a", "b", "est").join(some, ["a", "b"], "left_anti")
-        elif not labels.isEmpty():
-            near = live.select(F.col("a").alias("k"), F.col("lb").alias("label")).union(live.select("b", "la")).distinct()
-            more = near.join(_central(pairs, labels), "label").where("k != h").select(F.least("k", "h").alias("a"), F.greatest("k", "h").alias("b"))
-            some = live.select("a", "b").union(more).distinct()
-        links = cut(links.union(check(some)))
-        labels = components(links).select(F.col("node").alias("k"), F.col("component").alias("label"))
-    return labels
+        state.confirm(some)
+    if state.labels is None:
+        return None
+    ends = first.select(F.col("a").alias("k")).union(first.select("b")).distinct()
+    missed = cut(state.between(again(ends.join(state.labels, "k", "left").select("k", F.coalesce("label", "k").alias("label")))))
+    near = missed.select(F.col("a").alias("k"), F.col("lb").alias("label")).union(missed.select("b", "la")).distinct()
+    more = near.join(_central(first, state.labels), "label").where("k != h").select(F.least("k", "h").alias("a"), F.greatest("k", "h").alias("b"))
+    rest = missed.select("a", "b").union(more).distinct().join(first, ["a", "b"], "left_anti")
+    state.confirm(rest)
+    return state.labels
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,7 +320,8 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: floa
     base = cut(slim.mapInArrow(_signatures(width), f"id {kind}, k long, n long, sketch binary"))
     grouped = base.where("k is not null").groupBy("k")
     classes = cut(grouped.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    pairs = candidates(classes, percent, recall)
+    leaves = nodes(classes, percent, recall)
+    pairs = candidates(leaves, classes, percent)
     wanted = cut(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct().join(classes.select("k", "rep"), "k").select("k", F.col("rep").alias("id")))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +335,8 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: floa
     of = small(wanted, wanted.count(), 500_000)  # beyond the bound the texts are shuffled by id
     on = F.col("d.id").eqNullSafe(F.col("w.id"))
     sets = cut(slim.alias("d").join(of.alias("w"), on).select("w.k", "d.text").mapInArrow(tokens, "k long, tokens binary").dropDuplicates(["k"]))
-    labels = confirm(pairs, sets, percent)
+    labels = connect(pairs, lambda known: candidates(leaves.join(known.select("k"), "k", "left_semi"), classes, percent, known), sets, percent)
+    labels = classes.select("k", F.col("k").alias("label")).limit(0) if labels is None else labels
     named = classes.select("k", "rep").join(labels, "k", "left").select("k", "rep", F.coalesce("label", "k").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     found = cut(named.join(least, "label").select("k", "component_id"))
