@@ -1,12 +1,13 @@
 """Quality rules combined by weak supervision.
 
 Each rule votes good (1) or bad (-1) or abstains (0). Documents are counted by their pattern of votes; there are at
-most 3 ** len(RULES) patterns, so expectation-maximisation over the counts works on a table of fixed size. It
-estimates the share of good documents and each rule's accuracy when it votes, and the posterior probability of good given a document's votes
-replaces the demand that every rule passes.
+most 3 ** N_RULES patterns, so expectation-maximisation over the counts works on a table of fixed size. It
+estimates the share of good documents and how often each rule votes wrongly on good and on bad ones, and the posterior probability of
+good given a document's votes replaces the demand that every rule passes.
 
 All columns are native expressions; each statistic covers the whole text. A null text has no words and fails the
-base test. Ties between posterior and threshold keep the document. An empty table gives an empty result. Other columns are carried along.
+base test. Ties between posterior and threshold keep the document. An empty table gives an empty result. ``keep`` returns
+whole rows whatever their columns.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ THRESHOLD = 0.5
 
 
 def _let(value: Column, body) -> Column:
-    """body(value), with value computed once."""
+    """body(value), with value computed once however often body or the optimizer repeats it."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
@@ -43,108 +44,126 @@ def repeat_words(hashes: Column, width: int = WINDOW) -> Column:
     return _let(starts, lambda s: F.when(F.size(F.array_distinct(s)) < F.size(s), covered(s)).otherwise(F.lit(0)))
 
 
-def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with _n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words and what the rules look at besides."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    bare = F.translate(text, SPACE, "")
+def figures(text: Column) -> Column:
+    """Struct of the statistics of a text, as one expression."""
+    text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda s: F.length(F.btrim(s, F.lit(SPACE))) > 0)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    first = docs.select(*own, words(text).alias("_words"), lines.alias("_lines"), bare.alias("_bare"))
-    second = first.select(*own, "_bare", "_lines", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    return second.select(
-        *own,
-        F.size("_hashes").cast("long").alias("_n_words"),
-        F.length("_bare").cast("long").alias("_word_chars"),
-        (F.length("_bare") - F.length(F.translate("_bare", SYMBOLS, ""))).cast("long").alias("_n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("_n_dup_lines"),
-        repeat_words(F.col("_hashes")).cast("long").alias("_n_repeat_words"),
-        F.size("_lines").cast("long").alias("_n_lines"),
-        F.size(F.array_distinct("_hashes")).cast("long").alias("_n_distinct"),
-        F.length(F.translate("_bare", "ABCDEFGHIJKLMNOPQRSTUVWXYZ!", "")).cast("long").alias("_quiet"),
-    )
+    parts = F.struct(F.transform(words(text), lambda w: F.xxhash64(w)).alias("hashes"), lines.alias("lines"), F.translate(text, SPACE, "").alias("bare"))
+
+    def count(p: Column) -> Column:
+        whole = {
+            "n_words": F.size(p["hashes"]),
+            "word_chars": F.length(p["bare"]),
+            "n_symbols": F.length(p["bare"]) - F.length(F.translate(p["bare"], SYMBOLS, "")),
+            "n_dup_lines": F.size(p["lines"]) - F.size(F.array_distinct(p["lines"])),
+            "n_repeat_words": repeat_words(p["hashes"]),
+            "n_lines": F.size(p["lines"]),
+            "n_distinct": F.size(F.array_distinct(p["hashes"])),
+            "n_loud": F.length(p["bare"]) - F.length(F.translate(p["bare"], "ABCDEFGHIJKLMNOPQRSTUVWXYZ!", "")),
+        }
+        return F.struct(*[c.cast("long").alias(n) for n, c in whole.items()])
+
+    return _let(parts, count)
+
+
+def _vote(good: Column, bad: Column) -> Column:
+    return F.when(bad, -1).when(good, 1).otherwise(0)
+
+
+def rules(f: Column) -> dict[str, Column]:
+    """Name and vote of each rule, from the statistics."""
+    ratio = lambda a, b: f[a] / F.greatest(f[b], F.lit(1))
+    n = f["n_words"]
+    length, symbols, dup = ratio("word_chars", "n_words"), ratio("n_symbols", "word_chars"), ratio("n_dup_lines", "n_lines")
+    repeat, variety, loud = ratio("n_repeat_words", "n_words"), ratio("n_distinct", "n_words"), ratio("n_loud", "word_chars")
+    enough = n >= 20
+    return {
+        "length": _vote(n >= 30, n < 10),
+        "word_length": _vote(enough & length.between(3.0, 10.0), (length < 2.0) | (length > 15.0)),
+        "symbols": _vote(enough & (symbols < 0.01), symbols > 0.05),
+        "duplicate_lines": _vote((f["n_lines"] >= 4) & (dup < 0.1), dup > 0.3),
+        "repeated_words": _vote(enough & (repeat < 0.05), repeat > 0.2),
+        "variety": _vote((n >= 50) & (variety > 0.25), (n >= 50) & (variety < 0.15)),
+        "loudness": _vote(enough & (loud < 0.1), loud > 0.4),
+    }
 
 
-def _ratio(a: str, b: str) -> Column:
-    return F.col(a) / F.greatest(F.col(b), F.lit(1))
+def pattern(f: Column) -> Column:
+    """The votes as one number, a digit of base 3 for each rule."""
+    out = F.lit(0)
+    for j, v in enumerate(rules(f).values()):
+        out = out + (v + 1) * 3**j
+    return out.cast("int")
 
 
-def _vote(x: Column, good: Column, bad: Column) -> Column:
-    return F.when(x.isNull(), 0).when(bad, -1).when(good, 1).otherwise(0)
+def _vote_of(code: Column, j: int) -> Column:
+    return F.pmod(F.floor(code / 3**j), F.lit(3)).cast("int") - 1
 
 
-def rules() -> dict[str, Column]:
-    """Name and vote of each rule, over the columns of ``measure``."""
-    n = F.col("_n_words")
-    enough = n >= 20
-    length = _ratio("_word_chars", "_n_words")
-    symbols, dup, repeat = _ratio("_n_symbols", "_word_chars"), _ratio("_n_dup_lines", "_n_lines"), _ratio("_n_repeat_words", "_n_words")
-    variety = _ratio("_n_distinct", "_n_words")
-    loud = 1 - _ratio("_quiet", "_word_chars")
-    return {
-        "length": _vote(n, n >= 30, n < 10),
-        "word_length": _vote(length, enough & length.between(3.0, 10.0), (length < 2.0) | (length > 15.0)),
-        "symbols": _vote(symbols, enough & (symbols < 0.02), symbols > 0.1),
-        "duplicate_lines": _vote(dup, (F.col("_n_lines") >= 4) & (dup < 0.1), dup > 0.3),
-        "repeated_words": _vote(repeat, enough & (repeat < 0.05), repeat > 0.2),
-        "variety": _vote(variety, (n >= 50) & (variety > 0.25), (n >= 50) & (variety < 0.15)),
-        "loudness": _vote(loud, enough & (loud < 0.1), loud > 0.4),
-    }
+#: As many as ``rules`` has.
+N_RULES = 7
+
 
+#: Bad and good votes that a rule is taken to have cast on good and on bad documents before any is seen.
+PSEUDO = {1: (0.1, 99.9), 0: (30.0, 70.0)}
+#: Most of its votes on good documents that a rule is taken to cast wrongly; without a bound the two kinds could change places.
+MOST_FALSE = 0.001
+#: The share of good documents (first) and each rule's chance of a bad vote, if it votes, on good (1) and on bad documents (0).
+Model = tuple[float, dict[int, list[float]]]
 
-def _posterior(prior: float, accuracy: list[float]) -> Column:
-    """Probability of good given the votes _v0, _v1 ..., by the votes' log odds."""
+
+def _posterior(code: Column, model: Model) -> Column:
+    """Probability of good given the votes, by their log odds; who abstains says nothing."""
+    prior, bad = model
     odds = F.lit(math.log(prior / (1 - prior)))
-    for j, a in enumerate(accuracy):
-        odds = odds + F.col(f"_v{j}") * math.log(a / (1 - a))
+    for j in range(N_RULES):
+        v, g, b = _vote_of(code, j), bad[1][j], bad[0][j]
+        odds = odds + F.when(v == -1, math.log(g / b)).when(v == 1, math.log((1 - g) / (1 - b))).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
-def fit(votes: DataFrame, n_rules: int, rounds: int = 20) -> tuple[float, list[float]]:
-    """Prior and accuracies by expectation-maximisation over the counted patterns; a row of sums comes back each round.
+def fit(codes: DataFrame, rounds: int = 30) -> Model:
+    """The model of (code) by expectation-maximisation over the counted patterns; a row of sums comes back each round.
 
-    Pseudo-counts (80 right and 20 wrong votes for each rule, 8 good and 2 bad documents) keep rules without votes defined.
+    ``PSEUDO`` keeps rules that never vote defined. Most documents are taken to be good.
     """
-    names = [f"_v{j}" for j in range(n_rules)]
-    counts = cut(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1))
-    prior, accuracy = 0.8, [0.8] * n_rules
+    counts = cut(codes.groupBy("code").agg(F.count("*").alias("n")).coalesce(1))
+    model: Model = (0.9, {y: [PSEUDO[y][0] / sum(PSEUDO[y])] * N_RULES for y in (0, 1)})
     for _ in range(rounds):
-        p, n = _posterior(prior, accuracy), F.col("n")
-        right = [F.sum(n * F.when(F.col(v) == 1, F.col("p")).when(F.col(v) == -1, 1 - F.col("p")).otherwise(0.0)).alias(f"r{v}") for v in names]
-        voted = [F.sum(F.when(F.col(v) != 0, n).otherwise(0)).alias(f"t{v}") for v in names]
-        got = counts.withColumn("p", p).agg(F.sum(n * F.col("p")).alias("good"), F.sum(n).alias("all"), *right, *voted).first()
+        n, p = F.col("n"), F.col("p")
+        sums = [F.sum(F.when(_vote_of(F.col("code"), j) == v, w).otherwise(0.0)).alias(f"y{y}_{j}_{v}") for y, w in ((1, n * p), (0, n * (1 - p))) for j in range(N_RULES) for v in (-1, 1)]
+        got = counts.withColumn("p", _posterior(F.col("code"), model)).agg(F.sum(n * p).alias("good"), F.sum(n).alias("all"), *sums).first()
         if not got["all"]:
             break
-        new = (got["good"] + 8) / (got["all"] + 10)
-        fresh = [min(0.99, max(0.55, (got[f"r{v}"] + 80) / (got[f"t{v}"] + 100))) for v in names]
-        moved = max(abs(a - b) for a, b in zip([new, *fresh], [prior, *accuracy], strict=True))
-        prior, accuracy = min(0.99, max(0.01, new)), fresh
+        rate = lambda y, j, r=got: (r[f"y{y}_{j}_-1"] + PSEUDO[y][0]) / (r[f"y{y}_{j}_-1"] + r[f"y{y}_{j}_1"] + sum(PSEUDO[y]))
+        bad = {1: [min(MOST_FALSE, rate(1, j)) for j in range(N_RULES)], 0: [min(0.99, max(0.02, rate(0, j))) for j in range(N_RULES)]}
+        new = ((got["good"] + 90) / (got["all"] + 100), bad)
+        moved = max(abs(a - b) for y in (0, 1) for a, b in zip(bad[y], model[1][y], strict=True))
+        model = new
         if moved < 1e-4:
             break
-    return prior, accuracy
+    return model
 
 
-def judge(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with the statistics of ``measure``, _base_failed, _probability and _kept.
+def base_failed(f: Column) -> Column:
+    return (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
 
-    Statistics are computed in both passes (votes for the fit, then verdicts) rather than stored with the texts.
-    """
-    votes = [v.cast("int").alias(f"_v{j}") for j, v in enumerate(rules().values())]
-    bare = measure(docs.select(F.col(f"`{text_col}`").alias("text")))
-    prior, accuracy = fit(bare.select(*votes), len(votes))
-    return decide(measure(docs, text_col), prior, accuracy, threshold)
-
-
-def decide(measured: DataFrame, prior: float, accuracy: list[float], threshold: float = THRESHOLD) -> DataFrame:
-    votes = [v.cast("int").alias(f"_v{j}") for j, v in enumerate(rules().values())]
-    failed = (F.col("_n_words") < 10) | (100 * F.col("_n_repeat_words") > 20 * F.col("_n_words"))
-    out = measured.select("*", *votes).withColumn("_base_failed", failed).withColumn("_probability", _posterior(prior, accuracy))
-    return out.withColumn("_kept", ~F.col("_base_failed") & (F.col("_probability") >= threshold))
-
-
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document: id, statistics, votes' verdict. The texts are read once; only the figures are kept for the second pass."""
-    slim = docs.select(F.col(f"`{id_col}`").alias("_key"), F.col(f"`{text_col}`").alias("text"))
-    figures = cut(measure(slim).drop("text"))
-    votes = [v.cast("int").alias(f"_v{j}") for j, v in enumerate(rules().values())]
-    prior, accuracy = fit(figures.select(*votes), len(votes))
-    return decide(figures, prior, accuracy).withColumnRenamed("_key", id_col)
+
+def verdict(f: Column, model: Model, threshold: float = THRESHOLD) -> Column:
+    """Struct (base_failed, probability, kept)."""
+    inner = lambda p: F.struct(base_failed(f).alias("base_failed"), p.alias("probability"), (~base_failed(f) & (p >= threshold)).alias("kept"))
+    return _let(_let(pattern(f), lambda code: _posterior(code, model)), inner)
+
+
+def keep(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are kept. Texts are measured once for the fit and once for the verdict, so none is stored or moved."""
+    text = F.col(f"`{text_col}`")
+    model = fit(docs.select(_let(figures(text), pattern).alias("code")))
+    return docs.where(_let(figures(text), lambda f: verdict(f, model, threshold)["kept"]))
+
+
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """A row per document: id, the statistics, base_failed, probability and kept. Texts are read once; the figures are stored for the second pass."""
+    measured = cut(docs.select(F.col(f"`{id_col}`").alias("id"), figures(F.col(f"`{text_col}`")).alias("f")))
+    model = fit(measured.select(_let(F.col("f"), pattern).alias("code")))
+    return measured.select("id", "f", verdict(F.col("f"), model, threshold).alias("v")).select(F.col("id").alias(id_col), "f.*", "v.*")

@@ -51,8 +51,7 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.report(table(spark, sf_dir, "documents"))
-    named = {"_n_words": "n_words", "_word_chars": "word_chars", "_n_symbols": "n_symbols", "_n_dup_lines": "n_dup_lines", "_n_repeat_words": "n_repeat_words", "_base_failed": "base_failed", "_kept": "kept", "_probability": "probability"}
-    return got.select("doc_id", *[F.col(a).alias(b) for a, b in named.items()])
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
 
 
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

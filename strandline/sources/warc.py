@@ -86,3 +86,23 @@ def http(block: bytes) -> HttpMessage:
     first, *lines = block[:end].replace(b"\r\n", b"\n").split(b"\n")
     words = first.split()
     return HttpMessage(words[1].decode("latin-1") if len(words) > 1 else None, _headers(lines), block[end + width :])
+
+
+def arc_records(stream: BinaryIO) -> Iterator[WarcRecord]:
+    """Records of the older format: a line of url, address, date, type and length, then the block."""
+    at = 0
+    while line := stream.readline(MAX_HEADER):
+        begin, at = at, at + len(line)
+        words = line.decode("utf-8", "replace").split()
+        if len(words) < 5 or not words[-1].isdigit():
+            continue
+        block = stream.read(int(words[-1]))
+        at += len(block)
+        headers = [("WARC-Type", "arc"), ("WARC-Target-URI", " ".join(words[:-4])), ("WARC-IP-Address", words[-4]), ("WARC-Date", words[-3]), ("Content-Type", words[-2]), ("Content-Length", words[-1])]
+        if not words[0].startswith("filedesc:"):
+            yield WarcRecord(begin, "ARC", headers, block, len(block) < int(words[-1]))
+
+
+def all_records(stream: BinaryIO, name: str) -> Iterator[WarcRecord]:
+    """Records of either format, told apart by the file's name."""
+    return arc_records(stream) if name.lower().removesuffix(".gz").endswith(".arc") else records(stream)
