@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strandline.functions.binding import let
+
 
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
@@ -46,16 +48,19 @@ _ORDERS = ((rf"\b(\d{{1,2}})[/.\s-]+{_MONTH}[/.\s,-]+(\d{{4}}){_TIME}", (3, 2, 1
 _NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
+def _parts(low: Column, pattern: str, order: tuple[int, int, int]) -> Column:
+    """Year, month, day, hour, minute and second of the first match, as text."""
+    return F.array(*[F.regexp_extract(low, pattern, i) for i in (*order, 4, 5, 6)])
+
+
 def extract_date(text: Column) -> Column:
     """The first date that parses: day-month-year, then month-day-year, then year-month-day; months may be names and a time may follow."""
-    low = F.lower(text)
-    found = []
-    for pattern, (y, m, d) in _ORDERS:
-        part = lambda i, p=pattern: F.regexp_extract(low, p, i)
-        month = part(m)
-        for i, name in enumerate(_NAMES):
-            month = F.when(month == name, str(i + 1)).otherwise(month)
+    names = F.array(*[F.lit(name) for name in _NAMES])
+
+    def moment(parts: Column) -> Column:
+        month = F.when(F.array_contains(names, F.get(parts, 1)), F.array_position(names, F.get(parts, 1)).cast("string")).otherwise(F.get(parts, 1))
         two = lambda c: F.lpad(F.when(c == "", "0").otherwise(c), 2, "0")
-        whole = F.concat(part(y), two(month), two(part(d)), two(part(4)), two(part(5)), two(part(6)))
-        found.append(F.when(part(y) != "", F.try_to_timestamp(whole, F.lit("yyyyMMddHHmmss"))))
-    return F.coalesce(*found)
+        whole = F.concat(F.get(parts, 0), two(month), *[two(F.get(parts, i)) for i in range(2, 6)])
+        return F.when(F.get(parts, 0) != "", F.try_to_timestamp(whole, F.lit("yyyyMMddHHmmss")))
+
+    return let(F.lower(text), lambda low: F.coalesce(*[let(_parts(low, pattern, order), moment) for pattern, order in _ORDERS]))
