@@ -25,10 +25,25 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Spark's setting that removes an execution's shuffle files as soon as it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df to the shared checkpoint folder and go on from there; the shuffle files that led to it are removed."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def gathered(df: DataFrame, rows: int, each: int = 200_000) -> DataFrame:
+    """df in as few partitions as hold ``each`` of its counted rows; a few rows aren't dealt over all tasks."""
+    return df.coalesce(rows // each + 1)
 
 
 def small(df: DataFrame, rows: int, limit: int = 200_000) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each round relinks every node's larger neighbours to its smallest one, then its smaller neighbours too, until each
 component is a star around its smallest node. Minima are aggregated before they are shuffled, and a node with many
-links meets a single row in each join, so Spark can split it. Rounds are cut at the shared checkpoint folder.
+links meets a single row in each join, so Spark can split it. Rounds are cut at the shared checkpoint folder, in as
+many partitions as their links need.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._common import cut
+from strandline.llm._common import cut, gathered
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -26,13 +27,14 @@ def components(edges: DataFrame) -> DataFrame:
     links = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = cut(links)
     before = _state(links)
+    links = gathered(links, before[0])
     while before[0]:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = gathered(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), before[0])
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
-        links = cut(joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct())
+        links = cut(gathered(joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct(), before[0]))
         after = _state(links)
         if after == before:
             break
