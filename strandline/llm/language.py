@@ -82,7 +82,8 @@ class Model:
     def _likelihood(self, p: np.ndarray, x: np.ndarray, start: np.ndarray, doc: np.ndarray, langs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """EM over the given languages of each text (texts x k): log-likelihood and shares."""
         k = langs.shape[1]
-        own = np.take_along_axis(p, langs[doc], 1) if k < p.shape[1] else p
+        every = k == p.shape[1] and (langs == np.arange(k)).all()
+        own = p if every else np.take_along_axis(p, langs[doc], 1)
         share = np.full(langs.shape, 1.0 / k)
         total = np.add.reduceat(x, start)
         for _ in range(ROUNDS):
