@@ -346,11 +346,15 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: floa
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs without the rows whose component has a smaller id; of rows with the same id and component one stays."""
+    """docs without the rows whose component has a smaller id.
+
+    Rows with the same id stay or go together, as one document; of those with the same text too one stays.
+    """
+    text_col = options.get("text_col", "text")
     found = deduplicate(docs, id_col=id_col, **options)
     keep = cut(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_rows")))
     of = small(keep, keep.count(), 500_000)
     own = [F.col(f"d.`{c}`") for c in docs.columns]
     rows = docs.alias("d").join(of, F.col(f"d.`{id_col}`").eqNullSafe(F.col("_kept"))).select(*own, "_rows")
     once, often = rows.where("_rows = 1").drop("_rows"), rows.where("_rows > 1").drop("_rows")
-    return once.union(often.dropDuplicates([id_col])) if not keep.where("_rows > 1").isEmpty() else once
+    return once.union(often.dropDuplicates([id_col, text_col])) if not keep.where("_rows > 1").isEmpty() else once
