@@ -49,8 +49,18 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.insert(words, at[1:], END), np.insert(words, at[:-1], START), at + np.arange(len(at))
 
 
+def _pair_hashes(before: np.ndarray, token: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + token)
+
+
 def pair_keys(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + token) & ~np.uint64(0xFFFF)
+    return _pair_hashes(before, token) & ~np.uint64(0xFFFF)
+
+
+def distinct(before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs (before, token), and which of them each token's is."""
+    _, first, back = np.unique(_pair_hashes(before, token), return_index=True, return_inverse=True)
+    return before[first], token[first], back
 
 
 def _sum(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +215,8 @@ class Model:
     words: Filter
     weights: np.ndarray
 
-    def terms(self, pairs: Filter, token: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For tokens whose pair is in ``pairs``: which, counts of pair and of the token before, its band, and of the token."""
+    def terms(self, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For the pairs that ``pairs`` has the shards of: which, counts of pair and of the word before, its band, and of the token."""
         key = pair_keys(before, token)
         own = np.flatnonzero(pairs.has(key))
         known, back = np.unique(np.concatenate([token[own], before[own]]), return_inverse=True)
@@ -221,8 +231,9 @@ class Model:
         both = np.minimum(both, np.minimum(count[t], count[b]))
         return own, both, count[b], np.minimum(level[b] // BAND, BANDS - 1), count[t]
 
-    def log10(self, pairs: Filter, token: np.ndarray, before: np.ndarray) -> np.ndarray:
-        own, both, first, band, second = self.terms(pairs, token, before)
+    def log10(self, pairs: Filter, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """log10 P of each pair's token; 0 for pairs in other shards."""
+        own, both, first, band, second = self.terms(pairs, before, token)
         plain = (second + 1) / (self.n_tokens + self.n_words + 1)
         m = np.where(first > 0, self.weights[band], 0.0)
         out = np.zeros(len(token))
@@ -239,11 +250,13 @@ def _fit_weights(model, pairs):
         for batch in batches:
             for _, _, data, offsets in pieces(batch.column(0)):
                 token, before, _ = tokens(data, offsets)
-                _, both, first, band, second = own.terms(filters, token, before)
+                before, token, back = distinct(before, token)
+                mine, both, first, band, second = own.terms(filters, before, token)
+                times = np.bincount(back, minlength=len(token))[mine]
                 plain = np.maximum(second, 1) / (own.n_tokens + own.n_words)
                 ratio = np.where(first > 1, np.minimum(np.maximum(both - 1, 0) / np.maximum(first - 1, 1), 1), 0)
                 for i, m in enumerate(WEIGHTS):
-                    sums[:, i] += np.bincount(band, np.log10(m * ratio + (1 - m) * plain), BANDS)
+                    sums[:, i] += np.bincount(band, times * np.log10(m * ratio + (1 - m) * plain), BANDS)
         rows = [(b, i, float(sums[b, i])) for b in range(BANDS) for i in range(len(WEIGHTS))]
         yield _rows(rows, pa.schema([("band", pa.int32()), ("i", pa.int32()), ("s", pa.float64())]))
 
@@ -258,16 +271,16 @@ def _score(model, pairs, table):
             n, known, base, score = [], [], [], []
             for _, _, data, offsets in pieces(batch.column("text")):
                 token, before, at = tokens(data, offsets)
+                before, token, back = distinct(before, token)
                 n.append(np.diff(at))
-                score.append(np.add.reduceat(own.log10(filters, token, before), at[:-1]))
+                score.append(np.add.reduceat(own.log10(filters, before, token)[back], at[:-1]))
                 if exact is None:
                     continue
                 keys, counts = exact
-                word, back = np.unique(token, return_inverse=True)
-                where = np.minimum(np.searchsorted(keys, word), max(len(keys) - 1, 0))
-                c = np.where(keys[where] == word, counts[where], 0)[back] if len(keys) else np.zeros(len(token))
-                known.append(np.add.reduceat((c > 0).astype(np.int64), at[:-1]))
-                base.append(np.add.reduceat(np.log10((c + 1) / (own.n_tokens + own.n_words + 1)), at[:-1]))
+                where = np.minimum(np.searchsorted(keys, token), max(len(keys) - 1, 0))
+                c = np.where(keys[where] == token, counts[where], 0) if len(keys) else np.zeros(len(token))
+                known.append(np.add.reduceat((c > 0).astype(np.int64)[back], at[:-1]))
+                base.append(np.add.reduceat(np.log10((c + 1) / (own.n_tokens + own.n_words + 1))[back], at[:-1]))
             arrays = [batch.column("id"), batch.column("h"), pa.array(np.concatenate(n)), pa.array(np.concatenate(score))]
             if exact is not None:
                 arrays += [pa.array(np.concatenate(known)), pa.array(np.concatenate(base))]
