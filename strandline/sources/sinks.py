@@ -18,10 +18,11 @@ def write_jsonl(docs: DataFrame, path: str, gzip: bool = True, by: str | None =
 
 def xml_fields(docs: DataFrame) -> DataFrame:
     """docs as (field: array of name and value): a field for each value that isn't null."""
+    named = lambda name: lambda v: F.struct(F.lit(name).alias("_name"), v.alias("_VALUE"))
     parts = []
     for name, kind in docs.dtypes:
         values = F.transform(F.coalesce(F.col(name), F.array()), lambda v: v.cast("string")) if kind.startswith("array") else F.array(F.col(name).cast("string"))
-        parts.append(F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v, n=name: F.struct(F.lit(n).alias("_name"), v.alias("_VALUE"))))
+        parts.append(F.transform(F.filter(values, lambda v: v.isNotNull()), named(name)))
     return docs.select(F.flatten(F.array(*parts)).alias("field"))
 
 

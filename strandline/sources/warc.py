@@ -27,10 +27,10 @@ class WarcRecord:
 
 
 def plain(stream: BinaryIO) -> BinaryIO:
-    """The stream itself, or what its gzip members hold."""
+    """The stream with buffered lines, or what its gzip members hold."""
     head = stream.read(2)
     stream.seek(0)
-    return io.BufferedReader(gzip.GzipFile(fileobj=stream)) if head == b"\x1f\x8b" else stream
+    return io.BufferedReader(gzip.GzipFile(fileobj=stream) if head == b"\x1f\x8b" else stream)
 
 
 def _headers(lines: list[bytes]) -> list[tuple[str, str]]:

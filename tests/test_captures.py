@@ -74,10 +74,10 @@ def test_broken_archive(spark, tmp_path):
 
 def test_documents(spark, folder):
     docs = documents(captures.read(spark, f"{folder}/a.warc"), DATASET)
-    rows = {r.url: r for r in docs.collect()}
+    rows = {r.url: r for r in docs.where("record_type != 'request'").collect()}
     assert "ftp://example.org/f" not in rows
     page = rows["http://www.example.org/"]
-    assert page.id == "201908150102/+BV/tmv/tASHANg2c3/2MA==" or page.id.startswith("201908150102/")
+    assert page.id.startswith("201908150102/")
     assert page.title == "A page" and page.host == "www.example.org" and page.domain == "example.org"
     assert page.links == ["http://www.example.org/x%20y", "http://www.other.co.uk/"]
     assert page.links_domains == ["example.org", "other.co.uk"] and page.content_type_norm == "html"
@@ -102,11 +102,13 @@ def test_html_features():
 
 def test_images():
     rng = np.random.default_rng(1)
-    grey = np.kron(rng.random((8, 8)), np.ones((25, 25))) * 255
+    grey = np.kron(rng.random((16, 16)), np.ones((32, 32))) * 255
     one = images.pdq(grey)
     assert images.hamming(one["original"], images.pdq(grey + rng.random(grey.shape))["original"]) <= 16
     for name, turned in (("rotate180", grey[::-1, ::-1]), ("flipx", grey[::-1]), ("flipy", grey[:, ::-1]), ("flipplus", grey.T)):
-        assert images.hamming(one[name], images.pdq(turned)["original"]) <= 24, name
+        own = images.pdq(turned)["original"]
+        assert min(one, key=lambda v: images.hamming(one[v], own)) == name
+    assert len(images.phash(grey)) == 16
     assert images.dimensions(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + (7).to_bytes(4, "big") + (5).to_bytes(4, "big")) == (5, 7)
     assert images.dimensions(b"GIF89a" + (3).to_bytes(2, "little") + (4).to_bytes(2, "little")) == (4, 3) and images.dimensions(b"?") is None
 
@@ -145,7 +147,7 @@ def test_sinks(spark, tmp_path):
     sinks.write_jsonl(docs, str(tmp_path / "j"), gzip=False)
     assert json.loads(open(glob.glob(str(tmp_path / "j/source_file=f/*.json"))[0]).read()) == {"id": "1", "v": ["a", None, "b"], "w": None}
     sinks.write_xml(docs, str(tmp_path / "x"))
-    whole = open(glob.glob(str(tmp_path / "x/part-*"))[0]).read()
+    whole = "".join(open(f).read() for f in glob.glob(str(tmp_path / "x/part-*")))
     assert '<field name="v">b</field>' in whole and 'name="w"' not in whole and "<add>" in whole
     with pytest.raises(ValueError):
         sinks.write(docs)

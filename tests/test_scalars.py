@@ -20,7 +20,14 @@ def values(spark, cases, *columns):
     return [tuple(r)[1:] for r in sorted(rows.collect(), key=lambda r: r[0])]
 
 
-X = F.col("x")
+X = None
+
+
+@pytest.fixture(autouse=True, scope="module")
+def column(spark):
+    """Columns can't be made before the session."""
+    global X
+    X = F.col("x")
 
 
 def test_urls(spark):
