@@ -226,7 +226,8 @@ def nodes(classes: DataFrame, percent: int, recall: float) -> DataFrame:
             chunk = F.pmod(F.xxhash64("k", "node"), F.ceil(F.col("c") / LEAF))
             leaves.append(large.select(F.xxhash64("node", chunk).alias("leaf"), "k"))
         else:
-            rows = large.select("node", "k").join(classes.select("k", "sketch"), "k").mapInArrow(_descend(n_trees, deeper - depth, second), "node long, k long")
+            met = large.select("node", "k").join(classes.select("k", "sketch"), "k").repartition(F.xxhash64("node", "k"))  # neither nodes nor classes alone are even
+            rows = met.mapInArrow(_descend(n_trees, deeper - depth, second), "node long, k long")
     return cut(reduce(DataFrame.union, leaves))
 
 
