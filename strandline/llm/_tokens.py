@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of rows; nulls are empty."""
+def pieces(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of rows of about ``size`` bytes; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -48,7 +49,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PIECE, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
@@ -74,6 +75,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(h), np.searchsorted(starts, offsets).astype(np.int64)
 
 
+def release() -> None:
+    """Give freed memory back to the system, where the C library can; for the end of a task, as Spark's workers live on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def shingles(words: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
     """Each text's distinct shingles of ``width`` words, sorted; all words as one shingle if there are fewer, nothing without words."""
     h = words.copy()

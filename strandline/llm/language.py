@@ -1,13 +1,16 @@
 """Languages of a document as a mixture, by expectation-maximisation over hashed byte trigrams.
 
 Training sums the trigrams of the labelled texts by language. A document is a mixture of languages: EM finds the
-shares that maximise the likelihood of its trigrams for one, two and three languages, and the set with the
-highest penalised likelihood wins (each further language must gain ``PENALTY`` times the logarithm of the number of trigrams). The language with
-the largest share is the prediction and its share the score.
-
-A null text, or one without a letter, is ``und`` with score 0. Rows without a language don't train. If nothing trains,
-all is ``und``. Ties go to the first language by code point. Whole texts count; the model has ``BUCKETS`` numbers for
-each language, at most ``MAX_LANGUAGES``.
+shares that maximise the likelihood of its trigrams for one, two, three .. languages until a further one no longer gains
+``PENALTY`` times the logarithm of the number of trigrams. The language with the largest share is the prediction and
+its share the score. Cells are counted by sorting, so a task's memory follows the bytes it looks at and the languages,
+not the number of texts.
+
+A null text, or one without a letter, is ``und`` with score 0. A text too short for a trigram is looked at with a space on
+either side. Rows without a language don't train. If nothing trains, all is ``und``. Ties go to the first language
+by code point. Repeated rows have equal results. Whole texts count; the model, which is broadcast, has ``BUCKETS``
+numbers for each language and is refused beyond ``max_languages``, a bound on what is broadcast. ``predict`` keeps
+the columns of docs whatever their names, but for those named as its own four.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from strandline.llm._tokens import pieces
 
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 512
+#: Trigrams times languages that are looked at together, unless one text is longer.
+TOGETHER = 1 << 20
 PENALTY = 12.0
 ROUNDS = 8
 UNKNOWN = "und"
@@ -99,9 +104,10 @@ class Model:
         text, bucket = trigrams(data, offsets)
         if not len(text) or not self.langs:
             return out
-        cells = np.bincount(text * BUCKETS + bucket, minlength=0)
-        (full,) = np.nonzero(cells)
-        x = cells[full].astype(np.float64)
+        cells = text * BUCKETS + bucket
+        cells.sort()
+        begin = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+        full, x = cells[begin], np.diff(np.r_[begin, len(cells)]).astype(np.float64)
         ids, start, doc = np.unique(full // BUCKETS, return_index=True, return_inverse=True)
         p = self.p[full % BUCKETS]
         logs = np.log(p)
@@ -115,7 +121,7 @@ class Model:
             _, every = self._likelihood(p, x, start, doc, np.tile(np.arange(len(self.langs)), (len(ids), 1)))
             every[np.arange(len(ids)), first] = 2.0
             order = np.argsort(-every, 1, kind="stable")
-            for k in range(2, min(3, len(self.langs)) + 1):
+            for k in range(2, len(self.langs) + 1):
                 rows = np.flatnonzero(np.isin(doc, todo))
                 if not len(rows):
                     break
@@ -133,12 +139,12 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> Model:
     """The model of all labelled rows of docs. What comes to the driver is BUCKETS numbers for each language at most."""
     summed = count(docs, text_col, lang_col).groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
-    rows = summed.orderBy("lang").take(MAX_LANGUAGES + 1)
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = summed.orderBy("lang").take(max_languages + 1)
+    if len(rows) > max_languages:
+        raise ValueError(f"more than {max_languages} languages; max_languages bounds the model that is broadcast")
     rows.sort(key=lambda r: r["lang"])
     counts = np.zeros((len(rows), BUCKETS))
     for i, r in enumerate(rows):
@@ -161,21 +167,24 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
         own = object.__new__(Model)
         own.langs, own.p = shared.value
-        langs, shares = [], []
-        for _, _, data, offsets in pieces(pa.array(text, pa.string(), from_pandas=True)):
-            for found in own.mixture(data, offsets):
-                langs.append([name for name, _ in found])
-                shares.append([s for _, s in found])
-        return pd.DataFrame({"langs": langs, "shares": shares})
+        found: list[list[tuple[str, float]]] = []
+        for _, _, data, offsets in pieces(pa.array(text, pa.string(), from_pandas=True), max(1 << 12, TOGETHER // max(8, len(own.langs)))):
+            found += own.mixture(data, offsets)
+        if short := [i for i, (f, t) in enumerate(zip(found, text, strict=True)) if not f and t]:
+            for _, _, data, offsets in pieces(pa.array([f" {text.iloc[i]} " for i in short], pa.string())):
+                for f in own.mixture(data, offsets):
+                    found[short.pop(0)] = f
+        return pd.DataFrame({"langs": [[name for name, _ in f] for f in found], "shares": [[s for _, s in f] for f in found]})
 
     text = F.col(f"`{text_col}`")
-    got = docs.withColumn("_found", infer(text)).withColumn("_letter", has_letter(text) & (F.size("_found.langs") > 0))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    top, share = F.get("_found.langs", F.lit(0)), F.get("_found.shares", F.lit(0))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("_langs", "_shares", "_lang_pred", "_score")]
+    got = docs.select(F.struct(*own).alias("row"), infer(text).alias("found"), has_letter(text).alias("letter"))
+    known = F.col("letter") & (F.size("found.langs") > 0)
+    top, share = F.get("found.langs", F.lit(0)), F.get("found.shares", F.lit(0))
     return got.select(
-        *own,
-        F.col("_found.langs").alias("_langs"),
-        F.col("_found.shares").alias("_shares"),
-        F.when(F.col("_letter"), top).otherwise(UNKNOWN).alias("_lang_pred"),
-        F.when(F.col("_letter"), F.least(share, F.lit(1.0))).otherwise(0.0).alias("_score"),
+        "row.*",
+        F.col("found.langs").alias("_langs"),
+        F.col("found.shares").alias("_shares"),
+        F.when(known, top).otherwise(UNKNOWN).alias("_lang_pred"),
+        F.when(known, F.least(share, F.lit(1.0))).otherwise(0.0).alias("_score"),
     )

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -91,7 +92,7 @@ def test_texts_without_letters_are_unknown(spark):
     assert len(rows) == docs.count()
     for r in rows:
         letters = r.text is not None and any(c.isalpha() for c in r.text)
-        assert (r._lang_pred == "und") == (not letters) or r.text in ("A", "a"), r.text  # one letter has no trigram
+        assert (r._lang_pred == "und") == (not letters), r.text
         assert (r._score == 0) == (r._lang_pred == "und")
     assert {r._lang_pred for r in language.predict(docs, language.fit(docs.limit(0))).collect()} == {"und"}
     assert language.predict(docs.limit(0), language.fit(docs)).collect() == []
@@ -106,6 +107,36 @@ def test_mixtures_are_found(spark):
     assert language.predict(documents(spark, [one * 20]), model).first()._langs == ["en"]
 
 
+def test_short_texts_take_little_memory():
+    model = language.Model(["a", "b"], np.ones((2, language.BUCKETS)))
+    data, at = np.frombuffer(b"one short text, 18" * 10_000, np.uint8), np.arange(0, 180_001, 18)
+    tracemalloc.start()
+    found = model.mixture(data, at)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 10_000 and all(found) and most < 120 << 20
+
+
+def test_a_fourth_language_is_found():
+    rng = random.Random(2)
+    letters = ["abcde", "fghij", "klmno", "pqrst", "uvwxy"]
+    text = lambda i, n: " ".join("".join(rng.choice(letters[i]) for _ in range(5)) for _ in range(n)).encode()
+    counts = np.zeros((5, language.BUCKETS))
+    for i in range(5):
+        own = np.frombuffer(text(i, 4000), np.uint8)
+        counts[i] = np.bincount(language.trigrams(own, np.array([0, len(own)]))[1], minlength=language.BUCKETS)
+    mixed = np.frombuffer(b" ".join(text(i, 300 + 50 * i) for i in range(4)), np.uint8)
+    (found,) = language.Model(list("abcde"), counts).mixture(mixed, np.array([0, len(mixed)]))
+    assert [name for name, _ in found] == ["d", "c", "b", "a"] and sum(s for _, s in found) == pytest.approx(1)
+
+
+def test_languages_keep_columns_that_clash(spark):
+    docs = documents(spark, ["the quick brown fox", None]).selectExpr("*", "1 as row", "2 as found", "3 as letter", "'mine' as _found", "4 as _score")
+    got = language.predict(docs, language.fit(docs))
+    assert got.columns == [c for c in docs.columns if c != "_score"] + ["_langs", "_shares", "_lang_pred", "_score"]
+    assert {(r.row, r.found, r.letter, r._found) for r in got.collect()} == {(1, 2, 3, "mine")}
+
+
 # --- tokens
 
 
@@ -133,7 +164,7 @@ def test_tokens_equal_the_library(spark, sf):
 
 
 def test_forced_cuts_change_no_word_and_a_full_cache_no_result():
-    small, large = bpe.Encoder(vocabulary(), cached=2), bpe.encoder(vocabulary())
+    small, large = bpe.Encoder(vocabulary(), cache=300), bpe.Encoder(vocabulary())
     for word in ("zqxjkv" * 20, "qqqqqqqq", "中文字", "hello"):
         assert small.encode(word) == large.encode(word)
     assert large.cuts("".join(large.letter[b] for b in "zqжx".encode()))
