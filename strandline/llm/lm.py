@@ -3,19 +3,23 @@
 Counts of words and word pairs are summed in each task, sent to a shard by hash, summed there, and put into the
 shard's filter: an n-gram with count c is inserted as (n-gram, 1) .. (n-gram, q) with q = 1 + floor(log_b c). A count is read
 back by probing (n-gram, 1), (n-gram, 2) .. until a probe fails, so errors only ever raise it and become rarer with each step.
-Neither counts nor n-grams are kept, only the bits; they are broadcast.
+Of the pairs neither counts nor keys are kept, only the bits; they are broadcast. A task remembers the words that it has
+looked up.
 
-P(w | v) = m * c(v w) / c(v) + (1 - m) * P(w), P(w) = (c(w) + 1) / (N + V + 1), with one weight m for each band of
-c(v), fitted to all training texts by leaving each token's own occurrence out. The text's score is the sum of log10 P over its
-words and the end mark; the first word follows a start mark.
+P(w | v) = m * low(v w) / high(v) + (1 - m) * P(w), P(w) = (low(w) + 1) / (N + V + 1), where low and high are the least and the
+greatest count of the level that was read. So the probabilities of all words and one unknown word add up to 1 at most, and
+to no less than one part in the two bases' product, but for pairs that the filter shows by mistake (one in about 45).
+The weight m is one for each band of c(v), C / (C + T) with the band's tokens C and its distinct pairs T (Witten and
+Bell), summed over the distinct pairs of all shards. The text's score is the sum of log10 P over its words and the end mark;
+the first word follows a start mark.
 
-A filter for word pairs that would pass ``MAX_FILTER`` bytes is broadcast in parts, one pass over the texts each (a
-token's term depends on the part of its own pair alone). The exact word counts behind the base score are broadcast up to
-``MAX_TABLE`` words and joined by a shuffle beyond that. The filter for words, about 4 bytes for each distinct word, is
-whole in each pass; past ``MAX_FILTER`` it is refused.
+Filters that would pass ``MAX_FILTER`` bytes are broadcast in parts, one after the other, each removed before the next: a pass
+over the texts for each part of the pairs, and for each two parts of the words if these need more than one. Each pass
+scores the tokens whose filters it has, so their sum is the same however many there are. The exact word counts
+behind the base score are broadcast up to ``MAX_TABLE`` words and joined by a shuffle beyond that.
 
 A null text is empty and has the end mark alone. Repeated rows have equal scores. Without training rows every count is
-0. An empty table gives an empty result. Pairs are told apart by 48 bits of hash, words by 64.
+0. An empty table gives an empty result. Other columns are ignored. Pairs and words are told apart by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,17 +35,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm._common import cut
-from strandline.llm._tokens import mix, pieces, word_hashes
+from strandline.llm._tokens import mix, pieces, release, word_hashes
 
-BASES = {1: 1.2, 2: 1.5}
+BASES = {1: 1.1, 2: 1.25}
 BITS, HASHES = 8, 5
+#: Most bits of a shard's number.
+SHARD_BITS = 20
 MAX_FILTER = 192 << 20
 MAX_TABLE = 8_000_000
 #: Rows of n-grams that a task sums before it sends them on.
 HELD = 2_000_000
-BANDS, BAND = 12, 8
-WEIGHTS = np.array([0, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
+#: Words that a task remembers before it begins anew.
+REMEMBERED = 1_000_000
+BANDS, BAND = 16, 16
 START, END = np.uint64(0x5D1A3B7C9E2F4681), np.uint64(0xE4D9B8A7C6F50312)
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,18 +58,9 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.insert(words, at[1:], END), np.insert(words, at[:-1], START), at + np.arange(len(at))
 
 
-def _pair_hashes(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + token)
-
-
 def pair_keys(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return _pair_hashes(before, token) & ~np.uint64(0xFFFF)
-
-
-def distinct(before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pairs (before, token), and which of them each token's is."""
-    _, first, back = np.unique(_pair_hashes(before, token), return_index=True, return_inverse=True)
-    return before[first], token[first], back
+    """64 bits: 32 of the pair, which choose the shard, then 32 of the word before."""
+    return (mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + token) & ~LOW) | (before >> np.uint64(32))
 
 
 def _sum(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -77,13 +77,12 @@ def _sum(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray
 
 
 def _blobs(order: int, bits: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
-    """A row for each shard: 48-bit keys take six bytes."""
+    """A row for each shard."""
     shard = (keys >> np.uint64(64 - bits)).astype(np.int64)
     ends = np.searchsorted(shard, np.arange((1 << bits) + 1))
     for s, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
         if b > a:
-            own = keys[a:b] if order == 1 else np.ascontiguousarray(keys[a:b].view(np.uint8).reshape(-1, 8)[:, 2:])
-            yield order, s, own.tobytes(), np.minimum(counts[a:b], 0xFFFFFFFF).astype(np.uint32).tobytes()
+            yield order, s, keys[a:b].tobytes(), np.minimum(counts[a:b], 0xFFFFFFFF).astype(np.uint32).tobytes()
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -124,18 +123,23 @@ def levels(counts: np.ndarray, base: float) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / math.log(base) + 1e-9).astype(np.int64)
 
 
-def values(base: float, most: int = 200) -> np.ndarray:
-    """The count that each level stands for: the mean of the whole numbers in it."""
-    out = np.zeros(most)
+@cache
+def bounds(base: float, most: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the greatest count of each level; 0 for level 0."""
+    low, high = np.zeros(most), np.zeros(most)
     for q in range(1, most):
-        low, high = math.ceil(base ** (q - 1) - 1e-9), math.ceil(base**q - 1e-9) - 1
-        out[q] = (low + high) / 2 if high >= low else base ** (q - 1)
-    return out
+        low[q] = math.ceil(base ** (q - 1) - 1e-9)
+        high[q] = max(low[q], math.ceil(base**q - 1e-9) - 1)
+    return low, high
+
 
+def _grown(keys: np.ndarray, level: int) -> np.ndarray:
+    return mix(keys + np.uint64((level * 0x9E3779B97F4A7C15) % (1 << 64)))
 
-def _places(keys: np.ndarray, level: int, n_bits: np.ndarray, i: int) -> np.ndarray:
-    g = mix(keys + np.uint64((level * 0x9E3779B97F4A7C15) % (1 << 64)))
-    g = g + np.uint64(i) * ((g << np.uint64(32)) | (g >> np.uint64(32)) | np.uint64(1))
+
+def _place(g: np.ndarray, n_bits: np.ndarray, i: int) -> np.ndarray:
+    if i:
+        g = g + np.uint64(i) * ((g << np.uint64(32)) | (g >> np.uint64(32)) | np.uint64(1))
     return ((g >> np.uint64(32)) * n_bits) >> np.uint64(32)
 
 
@@ -145,18 +149,18 @@ def fill(keys: np.ndarray, counts: np.ndarray, base: float) -> np.ndarray:
     n_bits = np.uint64(max(64, min(int(q.sum()) * BITS + 63 >> 6 << 6, (1 << 32) - 64)))
     bits = np.zeros(int(n_bits) >> 3, np.uint8)
     for level in range(1, int(q.max(initial=0)) + 1):
-        own = keys[q >= level]
+        g = _grown(keys[q >= level], level)
         for i in range(HASHES):
-            at = _places(own, level, n_bits, i)
+            at = _place(g, n_bits, i)
             np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
     return bits
 
 
 class Filter:
-    """Filters of some shards, side by side."""
+    """Filters of the shards whose number leaves ``part`` when divided by ``parts``, side by side."""
 
-    def __init__(self, shard_bits: int, base: float, shards: dict[int, bytes]):
-        self.shard_bits, self.base = shard_bits, base
+    def __init__(self, shard_bits: int, base: float, shards: dict[int, bytes], part: int = 0, parts: int = 1):
+        self.shard_bits, self.base, self.part, self.parts = shard_bits, base, part, parts
         self.bits = np.empty(sum(map(len, shards.values())), np.uint8)
         self.start, self.size = np.zeros(1 << shard_bits, np.int64), np.zeros(1 << shard_bits, np.uint64)
         at = 0
@@ -164,139 +168,168 @@ class Filter:
             self.bits[at : at + len(b)] = np.frombuffer(b, np.uint8)
             self.start[s], self.size[s] = at, len(b) * 8
             at += len(b)
-        self.value = values(base)
+
+    def _shard(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.shard_bits)).astype(np.int64)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         """Whether the keys' shards are among these."""
-        return self.size[(keys >> np.uint64(64 - self.shard_bits)).astype(np.int64)] > 0
+        return self._shard(keys) % self.parts == self.part if self.parts > 1 else np.ones(len(keys), bool)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        q = np.zeros(len(keys), np.int64)
-        alive = np.flatnonzero(self.has(keys))
-        for level in range(1, 199):
+        out = np.zeros(len(keys), np.int64)
+        shard = self._shard(keys)
+        alive = np.flatnonzero(self.size[shard] > 0)
+        keys, size, start = keys[alive], self.size[shard[alive]], self.start[shard[alive]]
+        for level in range(1, 255):
+            g = _grown(keys, level)
             for i in range(HASHES):
                 if not len(alive):
-                    return q
-                own = keys[alive]
-                shard = (own >> np.uint64(64 - self.shard_bits)).astype(np.int64)
-                at = _places(own, level, self.size[shard], i)
-                bit = self.bits[self.start[shard] + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
-                alive = alive[(bit & 1).astype(bool)]
-            q[alive] = level
-        return q
+                    return out
+                at = _place(g, size, i)
+                on = ((self.bits[start + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                if not on.all():
+                    alive, keys, size, start, g = alive[on], keys[on], size[on], start[on], g[on]
+            out[alive] = level
+        return out
 
 
-REDUCED = "ord int, shard int, n long, total long, bits binary, keys binary, counts binary"
+REDUCED = "ord int, shard int, n long, total long, bits binary, keys binary, counts binary, pairs binary"
 
 
 def _reduce(table: pa.Table) -> pa.Table:
-    """All blobs of a shard: its filter and, for words, its exact counts."""
+    """All blobs of a shard: its filter and its exact counts, of words, or of the pairs' words before (32 bits of them) with their distinct pairs."""
     order, shard = table.column("ord")[0].as_py(), table.column("shard")[0].as_py()
-    raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8)
-    if order == 1:
-        keys = raw.view(np.uint64)
-    else:
-        wide = np.zeros((len(raw) // 6, 8), np.uint8)
-        wide[:, 2:] = raw.reshape(-1, 6)
-        keys = wide.view(np.uint64).ravel()
+    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
     keys, counts = _sum(keys, np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32).astype(np.int64))
-    bits = fill(keys, counts, BASES[order])
-    own = (keys.tobytes(), counts.astype(np.int64).tobytes()) if order == 1 else (None, None)
-    row = {"ord": [order], "shard": [shard], "n": [len(keys)], "total": [int(counts.sum())], "bits": [bits.tobytes()], "keys": [own[0]], "counts": [own[1]]}
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    bits, n, total, pairs = fill(keys, counts, BASES[order]), len(keys), int(counts.sum()), None
+    if order == 2:
+        at = np.argsort(keys & LOW, kind="stable")
+        before, counts = (keys & LOW)[at].astype(np.uint32), counts[at]
+        start = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
+        keys, counts, pairs = before[start], np.add.reduceat(counts, start), np.diff(np.r_[start, len(before)]).astype(np.uint32).tobytes()
+    row = {"ord": [order], "shard": [shard], "n": [n], "total": [total], "bits": [bits.tobytes()], "keys": [keys.tobytes()], "counts": [counts.astype(np.int64).tobytes()], "pairs": [pairs]}
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     return pa.table([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
 
 @dataclass
 class Model:
+    """What all passes share; weights by band of the count of the word before."""
+
     n_tokens: int
     n_words: int
     n_docs: int
-    words: Filter
     weights: np.ndarray
 
-    def terms(self, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For the pairs that ``pairs`` has the shards of: which, counts of pair and of the word before, its band, and of the token."""
-        key = pair_keys(before, token)
-        own = np.flatnonzero(pairs.has(key))
-        known, back = np.unique(np.concatenate([token[own], before[own]]), return_inverse=True)
-        level = self.words.level(known)
-        count = self.words.value[level]
-        count[known == START] = self.n_docs
-        level[known == START] = levels(np.array([max(1, self.n_docs)]), self.words.base)[0]
-        t, b = back[: len(own)], back[len(own) :]
-        seen = (count[t] > 0) & (count[b] > 0)  # a pair of words that aren't there isn't there either
-        both = np.zeros(len(own))
-        both[seen] = pairs.value[pairs.level(key[own][seen])]
-        both = np.minimum(both, np.minimum(count[t], count[b]))
-        return own, both, count[b], np.minimum(level[b] // BAND, BANDS - 1), count[t]
-
-    def log10(self, pairs: Filter, before: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """log10 P of each pair's token; 0 for pairs in other shards."""
-        own, both, first, band, second = self.terms(pairs, before, token)
-        plain = (second + 1) / (self.n_tokens + self.n_words + 1)
-        m = np.where(first > 0, self.weights[band], 0.0)
-        out = np.zeros(len(token))
-        out[own] = np.log10(m * both / np.maximum(first, 1) + (1 - m) * plain)
-        return out
-
 
-def _fit_weights(model, pairs):
-    """Sums of log-likelihood by band and weight with each token's own occurrence left out."""
+class Lexicon:
+    """What a task knows of words: P(w), the most its count can be, m / high(v), 1 - m, and its exact count."""
+
+    def __init__(self, model: Model, words: Filter, exact: tuple[np.ndarray, np.ndarray] | None):
+        self.model, self.words, self.exact = model, words, exact
+        self.keys, self.known = np.zeros(0, np.uint64), np.zeros((5, 0))
+
+    def _new(self, keys: np.ndarray) -> np.ndarray:
+        m, level = self.model, self.words.level(keys)
+        level[keys == START] = levels(np.array([m.n_docs]), self.words.base)[0] if m.n_docs else 0
+        low, high = (x[level] for x in bounds(self.words.base))
+        high[keys == START] = m.n_docs
+        weight = np.where(level > 0, m.weights[np.minimum(level // BAND, BANDS - 1)], 0.0)
+        plain = (np.where(keys == START, 0, low) + 1) / (m.n_tokens + m.n_words + 1)
+        count = np.zeros(len(keys))
+        if self.exact is not None and len(self.exact[0]):
+            at = np.minimum(np.searchsorted(self.exact[0], keys), len(self.exact[0]) - 1)
+            count = np.where(self.exact[0][at] == keys, self.exact[1][at], 0)
+        return np.stack([plain, high, weight / np.maximum(high, 1), 1 - weight, count])
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """For each of the distinct sorted keys, a column of the five numbers."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        new = keys[self.keys[at] != keys] if len(self.keys) else keys
+        if len(new):
+            if len(self.keys) > REMEMBERED:
+                self.keys, self.known, new = self.keys[:0], self.known[:, :0], keys
+            self.keys, self.known = np.concatenate([self.keys, new]), np.concatenate([self.known, self._new(new)], 1)
+            order = np.argsort(self.keys, kind="stable")
+            self.keys, self.known = self.keys[order], self.known[:, order]
+            at = np.searchsorted(self.keys, keys)
+        return self.known[:, at]
+
+
+def terms(second: Lexicon, first: Lexicon, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 P of each token, 0 where another pass has its filters; and the tokens' exact counts."""
+    words, back = np.unique(np.concatenate([token, before]), return_inverse=True)
+    t, b = back[: len(token)], back[len(token) :]
+    plain, high, *_, count = second.of(words)
+    _, high_b, ratio, rest, _ = first.of(words) if first is not second else second.of(words)
+    key, where, back = np.unique(pair_keys(before, token), return_index=True, return_inverse=True)
+    most = np.minimum(high[t[where]], high_b[b[where]])
+    seen = np.flatnonzero(most)  # a pair of words that aren't there isn't there either
+    both = np.zeros(len(key))
+    both[seen] = np.minimum(bounds(pairs.base)[0][pairs.level(key[seen])], most[seen])
+    out = np.log10(ratio[b[where]] * both + rest[b[where]] * plain[t[where]])
+    own = pairs.has(key)
+    if first is not second or second.words.parts > 1:
+        own &= second.words.has(token[where]) & first.words.has(before[where])
+    return np.where(own, out, 0.0)[back], count[t]
+
+
+def _befores(table, n_docs: int):
+    """(band, tokens, pairs): what the distinct pairs' words before add up to, of those in table; n_docs start marks if it has them too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, filters = model.value, pairs.value
-        sums = np.zeros((BANDS, len(WEIGHTS)))
+        keys, counts = table.value
+        sums = np.zeros((BANDS, 2), np.int64)
+        start = START >> np.uint64(32)
         for batch in batches:
-            for _, _, data, offsets in pieces(batch.column(0)):
-                token, before, _ = tokens(data, offsets)
-                before, token, back = distinct(before, token)
-                mine, both, first, band, second = own.terms(filters, before, token)
-                times = np.bincount(back, minlength=len(token))[mine]
-                plain = np.maximum(second, 1) / (own.n_tokens + own.n_words)
-                ratio = np.where(first > 1, np.minimum(np.maximum(both - 1, 0) / np.maximum(first - 1, 1), 1), 0)
-                for i, m in enumerate(WEIGHTS):
-                    sums[:, i] += np.bincount(band, times * np.log10(m * ratio + (1 - m) * plain), BANDS)
-        rows = [(b, i, float(sums[b, i])) for b in range(BANDS) for i in range(len(WEIGHTS))]
-        yield _rows(rows, pa.schema([("band", pa.int32()), ("i", pa.int32()), ("s", pa.float64())]))
+            for k, c, p in zip(batch.column("keys"), batch.column("counts"), batch.column("pairs"), strict=True):
+                own, total, pairs = np.frombuffer(k.as_buffer(), np.uint32).astype(np.uint64), np.frombuffer(c.as_buffer(), np.int64), np.frombuffer(p.as_buffer(), np.uint32)
+                at = np.minimum(np.searchsorted(keys, own << np.uint64(32)), max(len(keys) - 1, 0))
+                found = (keys[at] >> np.uint64(32)) == own if len(keys) else np.zeros(len(own), bool)
+                n = np.where(found, counts[at], 0).astype(np.int64) if len(keys) else np.zeros(len(own), np.int64)
+                if n_docs:
+                    n[own == start] = n_docs
+                at = np.flatnonzero(n)
+                band = np.minimum(levels(n[at], BASES[1]) // BAND, BANDS - 1)
+                np.add.at(sums, (band, 0), total[at])
+                np.add.at(sums, (band, 1), pairs[at].astype(np.int64))
+        yield _rows([(b, int(sums[b, 0]), int(sums[b, 1])) for b in range(BANDS)], pa.schema([("band", pa.int32()), ("c", pa.int64()), ("t", pa.int64())]))
 
     return run
 
 
-def _score(model, pairs, table):
+def _score(model: Model, second, first, pairs, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, filters = model.value, pairs.value
         exact = table.value if table is not None else None
+        one = Lexicon(model, second.value, exact)
+        other = Lexicon(model, first.value, None) if first is not second else one
         for batch in batches:
             n, known, base, score = [], [], [], []
             for _, _, data, offsets in pieces(batch.column("text")):
                 token, before, at = tokens(data, offsets)
-                before, token, back = distinct(before, token)
+                logs, c = terms(one, other, pairs.value, before, token)
                 n.append(np.diff(at))
-                score.append(np.add.reduceat(own.log10(filters, before, token)[back], at[:-1]))
-                if exact is None:
-                    continue
-                keys, counts = exact
-                where = np.minimum(np.searchsorted(keys, token), max(len(keys) - 1, 0))
-                c = np.where(keys[where] == token, counts[where], 0) if len(keys) else np.zeros(len(token))
-                known.append(np.add.reduceat((c > 0).astype(np.int64)[back], at[:-1]))
-                base.append(np.add.reduceat(np.log10((c + 1) / (own.n_tokens + own.n_words + 1))[back], at[:-1]))
-            arrays = [batch.column("id"), batch.column("h"), pa.array(np.concatenate(n)), pa.array(np.concatenate(score))]
-            if exact is not None:
-                arrays += [pa.array(np.concatenate(known)), pa.array(np.concatenate(base))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "h", "n_tokens", "score", "n_known", "base_score"][: len(arrays)])
+                score.append(np.add.reduceat(logs, at[:-1]))
+                known.append(np.add.reduceat((c > 0).astype(np.int64), at[:-1]))
+                base.append(np.add.reduceat(np.log10((c + 1) / (model.n_tokens + model.n_words + 1)), at[:-1]))
+            if n:
+                arrays = [*(batch.column(c) for c in ("id", "h", "g")), *(pa.array(np.concatenate(x)) for x in (n, score, known, base))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "h", "g", "n_tokens", "score", "n_known", "base_score"])
+        release()
 
     return run
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, word, times) for each distinct token of a text."""
+    """(h, g, word, times) for each distinct token of a text."""
     for batch in batches:
         for row, _, data, offsets in pieces(batch.column("text")):
             token, _, at = tokens(data, offsets)
             for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
                 word, times = np.unique(token[a:b], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), batch.column("h")[row + i].as_py())), pa.array(word.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "word", "times"])
+                hashes = [pa.array(np.full(len(word), batch.column(c)[row + i].as_py())) for c in ("h", "g")]
+                yield pa.RecordBatch.from_arrays([*hashes, pa.array(word.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "g", "word", "times"])
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,58 +338,74 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k.as_buffer(), np.int64)), pa.array(np.frombuffer(c.as_buffer(), np.int64))], names=["word", "c"])
 
 
+class Trained:
+    """The shards of a corpus, in the shared folder, and what is read from them."""
+
+    def __init__(self, training: DataFrame, text_col: str = "text", max_filter: int = MAX_FILTER, max_table: int = MAX_TABLE):
+        texts = training.select(F.col(f"`{text_col}`").alias("text"))
+        n_docs = texts.count()
+        self.bits = min(SHARD_BITS, max(6, math.ceil(math.log2(max(n_docs, 1) / 4000 + 1))))
+        blobs = texts.mapInArrow(_count(self.bits), "ord int, shard int, keys binary, counts binary")
+        self.reduced = cut(blobs.groupBy("ord", "shard").applyInArrow(_reduce, REDUCED))
+        sizes = {r["ord"]: r for r in self.reduced.groupBy("ord").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum(F.length("bits")).alias("bytes")).collect()}
+        n_words, n_tokens = (sizes[1]["n"], sizes[1]["total"]) if sizes else (0, 0)
+        self.parts = {o: max(1, math.ceil(sizes[o]["bytes"] / max_filter)) if sizes else 1 for o in (1, 2)}
+        self.tables = max(1, math.ceil(n_words / max_table))
+        self.model = Model(n_tokens, n_words, n_docs, np.zeros(BANDS))
+        sums = np.zeros((BANDS, 2))
+        for part in range(self.tables):
+            table = self.table(part)
+            found = self.reduced.where("ord = 2").select("keys", "counts", "pairs").mapInArrow(_befores(table, n_docs if part == 0 else 0), "band int, c long, t long")
+            for r in found.groupBy("band").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():
+                sums[r["band"]] += r["c"], r["t"]
+            if self.tables > 1:
+                table.destroy()
+        self.exact = table if self.tables == 1 else None
+        self.model.weights = sums[:, 0] / np.maximum(sums.sum(1), 1)
+
+    def filter(self, order: int, part: int):
+        """The broadcast filter of a part; up to max_filter bytes pass through the driver."""
+        parts = self.parts[order]
+        rows = self.reduced.where((F.col("ord") == order) & (F.col("shard") % parts == part)).select("shard", "bits")
+        own = Filter(self.bits, BASES[order], {r["shard"]: bytes(r["bits"]) for r in rows.toLocalIterator()}, part, parts)
+        return self.reduced.sparkSession.sparkContext.broadcast(own)
+
+    def table(self, part: int):
+        """The broadcast exact counts of a part of the words, at most max_table or so, sorted by hash."""
+        rows = self.reduced.where((F.col("ord") == 1) & (F.col("shard") % self.tables == part)).select("shard", "keys", "counts")
+        exact = sorted((r["shard"], bytes(r["keys"]), bytes(r["counts"])) for r in rows.toLocalIterator())
+        counts = np.minimum(np.frombuffer(b"".join(c for *_, c in exact), np.int64), 0xFFFFFFFF).astype(np.uint32)
+        return self.reduced.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(k for _, k, _ in exact), np.uint64), counts))
+
+
 def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter: int = MAX_FILTER, max_table: int = MAX_TABLE) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs, learnt from the texts of training."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
-    texts = training.select(F.col(f"`{text_col}`").alias("text"))
-    n_docs = texts.count()
-    bits = min(16, max(6, math.ceil(math.log2(max(n_docs, 1) / 4000 + 1))))
-    blobs = texts.mapInArrow(_count(bits), "ord int, shard int, keys binary, counts binary")
-    reduced = cut(blobs.groupBy("ord", "shard").applyInArrow(_reduce, REDUCED))
-    sizes = {r["ord"]: r for r in reduced.groupBy("ord").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum(F.length("bits")).alias("bytes")).collect()}
-    n_words, n_tokens = (sizes[1]["n"], sizes[1]["total"]) if sizes else (0, 0)
-    if sizes and sizes[1]["bytes"] > max_filter:
-        raise ValueError(f"the words' filter takes {sizes[1]['bytes']} bytes; max_filter is {max_filter}")
-
-    def filters(order: int, part: int = 0, parts: int = 1) -> Filter:
-        rows = reduced.where((F.col("ord") == order) & (F.col("shard") % parts == part)).select("shard", "bits")
-        return Filter(bits, BASES[order], {r["shard"]: bytes(r["bits"]) for r in rows.toLocalIterator()})
-
-    model = Model(n_tokens, n_words, n_docs, filters(1), np.zeros(BANDS))
-    parts = max(1, math.ceil(sizes[2]["bytes"] / max_filter)) if sizes else 1
-    shared = sc.broadcast(model)
-    pairs = [sc.broadcast(filters(2, p, parts)) for p in range(parts)] if parts > 1 else [sc.broadcast(filters(2))]
-    sums = np.zeros((BANDS, len(WEIGHTS)))
-    for p in pairs:
-        for r in texts.mapInArrow(_fit_weights(shared, p), "band int, i int, s double").groupBy("band", "i").agg(F.sum("s").alias("s")).collect():
-            sums[r["band"], r["i"]] += r["s"]
-    model.weights = WEIGHTS[np.argmax(sums, 1)]
-    shared = sc.broadcast(model)
-    table = None
-    if n_words <= max_table:
-        exact = [(r["shard"], bytes(r["keys"]), bytes(r["counts"])) for r in reduced.where("ord = 1").select("shard", "keys", "counts").toLocalIterator()]
-        exact.sort()
-        table = sc.broadcast((np.frombuffer(b"".join(k for _, k, _ in exact), np.uint64), np.frombuffer(b"".join(c for _, _, c in exact), np.int64).astype(np.uint32)))
-    kind = docs.select(F.col(f"`{id_col}`").alias("id")).dtypes[0][1]
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).withColumn("h", F.xxhash64("id", "text"))
-    own = "n_known long, base_score double" if table is not None else None
-    schema = f"id {kind}, h long, n_tokens long, score double" + (f", {own}" if own else "")
-    done = [rows.mapInArrow(_score(shared, p, table), schema).withColumn("part", F.lit(i)) for i, p in enumerate(pairs)]
-    out = done[0].drop("part")
-    if len(done) > 1 or table is None:  # rows with the same id and text share a hash and have equal scores
-        every = done[0]
-        for more in done[1:]:
-            every = every.union(more)
-        same = F.sum(F.when(F.col("part") == 0, 1).otherwise(0))
-        first = [F.first(c).alias(c) for c in ("id", "n_tokens", *(("n_known", "base_score") if own else ()))]
-        out = every.groupBy("h").agg(*first, (F.sum("score") / same).alias("score"), same.alias("same"))
-        if table is None:
-            words = reduced.where("ord = 1").select("keys", "counts").mapInArrow(_exact, "word long, c long")
-            found = rows.select("h", "text").mapInArrow(_words, "h long, word long, times long").join(words, "word", "left").groupBy("h")
-            end = F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("times")).otherwise(0))
-            logs = F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_tokens + n_words + 1))))
-            known = F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))
-            out = out.join(found.agg((known / end).cast("long").alias("n_known"), (logs / end).alias("base_score")), "h")
+    own = Trained(training, text_col, max_filter, max_table)
+    n_tokens, n_words = own.model.n_tokens, own.model.n_words
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
+    schema = f"id {rows.dtypes[0][1]}, h long, g long, n_tokens long, score double, n_known long, base_score double"
+    passes = [(t, b, p) for t in range(own.parts[1]) for b in range(own.parts[1]) for p in range(own.parts[2])]
+    if len(passes) == 1:
+        second = own.filter(1, 0)
+        out = rows.mapInArrow(_score(own.model, second, second, own.filter(2, 0), own.exact), schema)
+    else:
+        done: list[DataFrame] = []
+        for t, b, p in passes:
+            second, pairs = own.filter(1, t), own.filter(2, p)
+            first = second if own.parts[1] == 1 else own.filter(1, b)
+            done.append(cut(rows.mapInArrow(_score(own.model, second, first, pairs, own.exact), schema)).withColumn("first", F.lit(not done)))
+            for shared in {second, first, pairs}:
+                shared.destroy()
+        same = F.sum(F.col("first").cast("long"))  # rows that repeat have equal scores and come apart again
+        once = [F.first(c).alias(c) for c in ("n_tokens", "n_known", "base_score")]
+        out = reduce(DataFrame.union, done).groupBy("id", "h", "g").agg(*once, (F.sum("score") / same).alias("score"), same.alias("same"))
         out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("same").cast("int"))))
+    if own.exact is None:
+        words = own.reduced.where("ord = 1").select("keys", "counts").mapInArrow(_exact, "word long, c long")
+        found = rows.select("h", "g", "text").mapInArrow(_words, "h long, g long, word long, times long").join(words, "word", "left").groupBy("h", "g")
+        end = F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("times")).otherwise(0))
+        logs = F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_tokens + n_words + 1))))
+        known = F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))
+        out = out.drop("n_known", "base_score").join(found.agg((known / end).cast("long").alias("n_known"), (logs / end).alias("base_score")), ["h", "g"])
     return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -34,7 +34,7 @@ def counted(texts):
     return [[*WORD.findall((t or "").translate(low)), None] for t in texts]
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_filter": 40_000, "max_table": 10}])
+@pytest.mark.parametrize("limits", [{}, {"max_filter": 1_000, "max_table": 200}, {"max_filter": 40_000, "max_table": 10}])
 def test_base_scores_equal_brute_force(spark, limits):
     rng = random.Random(4)
     texts = [*ODD, *[" ".join(f"w{int(rng.paretovariate(0.8)) % 500}" for _ in range(rng.randrange(80))) for _ in range(300)]]
@@ -51,6 +51,9 @@ def test_base_scores_equal_brute_force(spark, limits):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), rel=1e-9)
         assert math.isfinite(r.score) and r.score < 0
+    if limits:  # parts change no score
+        whole = {r.doc_id: r.score for r in lm.score(docs, train).collect()}
+        assert all(got[i].score == pytest.approx(whole[i], rel=1e-9) for i in whole)
 
 
 def test_model_beats_the_base_on_held_out_text(spark, sf):
@@ -58,6 +61,58 @@ def test_model_beats_the_base_on_held_out_text(spark, sf):
     assert got[0] > got[1]
 
 
+@pytest.fixture(scope="module")
+def corpus_of_pairs(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(1.1)) % 60}" for _ in range(rng.randrange(1, 60))) for _ in range(400)]
+    return texts, documents(spark, texts)
+
+
+def test_scores_lie_near_those_of_exact_counts(spark, corpus_of_pairs):
+    """By the formula of the module on plain counts; levels take at most a factor of both bases from each term."""
+    texts, docs = corpus_of_pairs
+    lists = counted(texts)
+    one, two, first = Counter(w for t in lists for w in t), Counter(), Counter()
+    for t in lists:
+        for v, w in zip(["start", *t], t, strict=False):
+            two[v, w] += 1
+            first[v] += 1
+    n, v_all = sum(one.values()), len(one)
+    band = lambda c: min(int(lm.levels(np.array([c]), lm.BASES[1])[0]) // lm.BAND, lm.BANDS - 1)
+    tokens_of, pairs_of = Counter(), Counter()
+    for v, c in first.items():
+        tokens_of[band(c)] += c
+    for v, _ in two:
+        pairs_of[band(first[v])] += 1
+    m = {b: tokens_of[b] / (tokens_of[b] + pairs_of[b]) for b in tokens_of}
+    got = {r.doc_id: r.score for r in lm.score(docs, docs).collect()}
+    gaps, most = 0.0, math.log10(lm.BASES[1] * lm.BASES[2])
+    for i, t in enumerate(lists):
+        exact = 0.0
+        for v, w in zip(["start", *t], t, strict=False):
+            weight = m[band(first[v])]
+            exact += math.log10(weight * two[v, w] / first[v] + (1 - weight) * (one[w] + 1) / (n + v_all + 1))
+        assert abs(got[i] - exact) <= len(t) * most
+        gaps += abs(got[i] - exact)
+    assert gaps <= 0.5 * most * n
+
+
+def test_probabilities_of_all_words_add_up_to_one_at_most(spark, corpus_of_pairs):
+    texts, docs = corpus_of_pairs
+    own = lm.Trained(docs)
+    words = sorted({w for t in counted(texts) for w in t if w})
+    data = " ".join(words).encode()
+    keys, _ = lm.word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    keys = np.append(keys, lm.END)
+    lexicon, pairs = lm.Lexicon(own.model, own.filter(1, 0).value, None), own.filter(2, 0).value
+    unknown = np.array([12345], np.uint64)
+    for v in [*keys[:-1], lm.START]:
+        token = np.append(keys, unknown)
+        logs, _ = lm.terms(lexicon, lexicon, pairs, np.full(len(token), v, np.uint64), token)
+        by_mistake = lexicon.of(np.array([v], np.uint64))[2, 0] * len(keys) * 0.1  # a few of the pairs that don't occur
+        assert 1 / (lm.BASES[1] * lm.BASES[2]) <= (10.0**logs).sum() <= 1 + by_mistake
+
+
 def test_filter_reads_counts_back():
     rng = np.random.default_rng(5)
     keys = np.unique(rng.integers(0, 1 << 63, 20_000).astype(np.uint64))
