@@ -3,20 +3,21 @@
 Documents with the same shingles are one class. Each class has a sketch of ``POSITIONS`` minwise tokens. In each of
 several independent trees a node sends its classes to one child for each distinct token at a position that the node
 selects (a second position with the chance that makes 1 / similarity children on average, so a similar pair stays together in one
-child on average). Nodes with ``LEAF`` classes or fewer are compared exhaustively; larger ones branch on. What is
-still large after ``DEPTHS[-1]`` levels, a group of close copies, is dealt into chunks of about ``LEAF`` at random, other chunks in
-each tree. The number of trees follows from the recall that is asked for at the second depth.
+child on average). Nodes with ``LEAF`` classes or fewer are compared exhaustively; larger ones branch on, ``DEPTHS[-1]``
+levels at most. The number of trees follows from the recall that is asked for at that depth.
 
-Comparing in a node uses sketches and set sizes; pairs that come near are candidates. A node first names the spanning
-forest of its candidates with the highest estimates, and links are confirmed on full sets, each component's best
-candidate before the others. A second look at the nodes then names every candidate that still lies between two components,
-and a copy that missed a component is set against that component's most central members as well. So a group of m
-copies costs about m confirmations for each tree, not m * m, and no candidate between components is left out.
+Comparing in a node uses sketches and set sizes; pairs that come near are candidates. The first look names the
+spanning forest of a node's candidates with the highest estimates; nodes that are still large at the last depth, groups of
+close copies, are dealt into chunks for it. These candidates are confirmed on full sets, each component's best before
+the others. The second look compares what is left exhaustively: in each node the classes of unlike components, of a large
+node its classes outside its largest component against all, in blocks. Those that come near are set against each
+other on their full sets within the node, and only a forest of links between components leaves it. So no pair of a
+node is left out, a group of m copies costs about m confirmations for each tree, and nothing is sent for each pair.
 
 Words are split at ASCII white space with A-Z lower-cased. A text with fewer words than a shingle is one shingle; a
 null text or one without words has no shingles and is linked with nothing. Rows with the same id keep apart unless their texts
-link. A null id gives way to any other as component id. An empty table gives an empty result.
-Shingles and classes are 64-bit hashes.
+link. A null id gives way to any other as component id. An empty table gives an empty result. ``deduplicate`` ignores other
+columns; ``keep_first`` returns whole rows whatever their columns. Shingles and classes are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm._common import cut, small
@@ -38,11 +39,14 @@ from strandline.llm._tokens import mix, pieces, shingles, word_hashes
 POSITIONS = 128
 LEAF = 24
 DEPTHS = (2, 4, 8)
-RECALL = 0.9999
+#: Share of the pairs at the similarity itself that meet in a node of the last depth, in any tree; closer ones meet more often.
+RECALL = 0.999
 #: Standard errors of the sketch's estimate that a pair may lie below the similarity and still be a candidate.
 MARGIN = 4.0
-#: Members of a component, by mean similarity to their candidates, that its near misses are set against.
-HUBS = 16
+#: Classes in a block of a large node.
+BLOCK = 512
+#: Tokens that a node's full sets are set against each other by at a time.
+SLICE = 4096
 
 _MULTIPLY = np.random.default_rng(97).integers(1, 1 << 31, POSITIONS, dtype=np.uint64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 
@@ -56,7 +60,7 @@ def survival(similarity: float, depth: int) -> float:
     return q
 
 
-def trees(similarity: float, recall: float = RECALL, depth: int = DEPTHS[1]) -> int:
+def trees(similarity: float, recall: float = RECALL, depth: int = DEPTHS[-1]) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth))))
 
 
@@ -82,11 +86,11 @@ def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, n, sketches = [], [], []
-            for s in _sets(batch.column(1), width):
+            for s in _sets(batch.column(2), width):
                 n.append(len(s))
                 key.append(_key(s) if len(s) else None)
                 sketches.append(sketch(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.binary())], names=["id", "k", "n", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.binary())], names=["id", "h", "k", "n", "sketch"])
 
     return run
 
@@ -144,61 +148,153 @@ def _forest(i: np.ndarray, j: np.ndarray, est: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
-def _pairs(percent: int, least: float, labelled: bool):
-    """Candidates among rows (leaf, k, n, bits, label) sorted by leaf, by sizes and sketches.
+def _held(batches: Iterator[pa.RecordBatch], arrays, compare) -> Iterator[pa.RecordBatch]:
+    """compare(runs, unit, *arrays) for the rows of each unit together, from batches sorted by unit; a unit lies between two of the runs."""
+    held: list[tuple] = []
+    for whole in batches:
+        for a in range(0, whole.num_rows, 20_000):
+            batch = whole.slice(a, 20_000)
+            held.append((batch.column("unit").to_numpy(), *arrays(batch)))
+            unit, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+            runs = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+            if len(runs) > 1:
+                yield from compare(runs, unit, *rest)
+            last = runs[-1]  # its unit may go on
+            held = [(unit[last:], *(x[last:] for x in rest))]
+    if held:
+        unit, *rest = held[0]
+        yield from compare(np.array([0, len(unit)]), unit, *rest)
 
-    A spanning forest for each leaf; if labelled, every pair whose labels differ.
-    """
 
-    def compare(runs: np.ndarray, k: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first, second, score = [], [], []
+def _bits(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(-1, POSITIONS)
+
+
+class _Near:
+    """Whether rows come near, by sizes and sketches; -1 for those that don't or that have one label."""
+
+    def __init__(self, percent: int):
+        similarity = percent / 100
+        self.percent, self.least = percent, similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / POSITIONS)
+
+    def __call__(self, same: np.ndarray, n: tuple[np.ndarray, np.ndarray], label: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        est = (same / POSITIONS - 1 / 256) / (1 - 1 / 256)
+        sizes = 100 * np.minimum(*n) >= self.percent * np.maximum(*n)
+        return np.where((est >= self.least) & sizes & (label[0] != label[1]), est, -1.0)
+
+    def rows(self, left: np.ndarray, right: np.ndarray, bits: np.ndarray, n: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """A matrix of estimates, from places to places."""
+        same = np.stack([(bits[right] == bits[i]).sum(1, dtype=np.int16) for i in left])
+        return self(same, (n[left][:, None], n[right][None, :]), (label[left][:, None], label[right][None, :]))
 
-        def near(i: np.ndarray, j: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, ...]:
-            est = (same / POSITIONS - 1 / 256) / (1 - 1 / 256)
-            ok = (est >= least) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (label[i] != label[j])
-            return i[ok], j[ok], est[ok]
 
-        def add(i: np.ndarray, j: np.ndarray, est: np.ndarray) -> None:
-            first.append(np.minimum(k[i], k[j]))
-            second.append(np.maximum(k[i], k[j]))
-            score.append(est)
+def _forests(percent: int):
+    """(a, b, est) of a spanning forest for each unit's candidates, from rows (unit, k, n, bits)."""
+    near = _Near(percent)
 
+    def compare(runs: np.ndarray, unit: np.ndarray, k: np.ndarray, n: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = []
         size = np.diff(runs)
         two = runs[:-1][size == 2]
         for a in range(0, len(two), 10_000):
             i = two[a : a + 10_000]
-            add(*near(i, i + 1, (bits[i] == bits[i + 1]).sum(1)))
+            est = near((bits[i] == bits[i + 1]).sum(1), (n[i], n[i + 1]), (k[i], k[i + 1]))
+            found.append((k[i][est >= 0], k[i + 1][est >= 0], est[est >= 0]))
         for a, s in zip(runs[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            if (label[a : a + s] == label[a]).all():
+            rows = np.arange(a, a + s)
+            est = np.triu(near.rows(rows, rows, bits, n, k), 1)
+            i, j = np.nonzero(est > 0)
+            kept = _forest(i, j, est[i, j])
+            found.append((k[a + i[kept]], k[a + j[kept]], est[i[kept], j[kept]]))
+        if found:
+            x, y, est = (np.concatenate(c) for c in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(est)], names=["a", "b", "est"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _held(batches, lambda b: (b.column("k").to_numpy(), b.column("n").to_numpy(), _bits(b)), compare)
+
+    return run
+
+
+def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows that are set against others, and of the others: all against all, or side 1 against side 2."""
+    return (np.flatnonzero(side == 1), np.flatnonzero(side == 2)) if side.max() > 0 else (np.arange(len(side)), np.arange(len(side)))
+
+
+def _open(percent: int):
+    """(unit, side, k, label) of the rows that come near one with another label, from rows (unit, side, k, label, n, bits)."""
+    near = _Near(percent)
+
+    def compare(runs: np.ndarray, unit: np.ndarray, side: np.ndarray, k: np.ndarray, label: np.ndarray, n: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+        live = np.zeros(len(unit), bool)
+        for a, s in zip(runs[:-1].tolist(), np.diff(runs).tolist(), strict=True):
+            own = slice(a, a + s)
+            if (label[own] == label[a]).all():
+                continue
+            left, right = (a + x for x in _sides(side[own]))
+            for b in range(0, len(left), 64):
+                ok = near.rows(left[b : b + 64], right, bits, n, label) >= 0
+                live[left[b : b + 64]] |= ok.any(1)
+                live[right] |= ok.any(0)
+        yield pa.RecordBatch.from_arrays([pa.array(x[live]) for x in (unit, side, k, label)], names=["unit", "side", "k", "label"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _held(batches, lambda b: (*(b.column(c).to_numpy() for c in ("side", "k", "label", "n")), _bits(b)), compare)
+
+    return run
+
+
+def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets, from places to places, by products over a slice of the tokens at a time."""
+    size = np.array([len(s) for s in sets])
+    token, back, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[back]
+    row, column = row[keep], number[back[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float64)
+    for a in range(0, int(shared.sum()), SLICE):
+        one, two = np.searchsorted(column, [a, a + SLICE])
+        dense = np.zeros((len(sets), SLICE), np.float32)
+        dense[row[one:two], column[one:two] - a] = 1
+        out += dense[left] @ dense[right].T  # whole numbers below 2 ** 24 are exact
+    return out
+
+
+def _links(percent: int):
+    """(a, b) of a forest of each unit's links between labels, from rows (unit, side, k, label, tokens)."""
+
+    def compare(runs: np.ndarray, unit: np.ndarray, side: np.ndarray, k: np.ndarray, label: np.ndarray, tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first, second = [], []
+        for a, b in zip(runs[:-1].tolist(), runs[1:].tolist(), strict=True):
+            sets = [np.frombuffer(t, np.uint64) for t in tokens[a:b]]
+            n, own = np.array([len(s) for s in sets]), label[a:b]
+            left, right = _sides(side[a:b])
+            if not len(left) or not len(right) or (own == own[0]).all():
                 continue
-            own, found = bits[a : a + s], []
-            for b in range(0, s, 256):
-                same = np.stack([(own == own[c]).sum(1) for c in range(b, min(s, b + 256))])
-                i, j = np.nonzero(np.arange(b, b + len(same))[:, None] < np.arange(s)[None, :])
-                found.append(near(a + b + i, a + j, same[i, j]))
-            i, j, est = (np.concatenate(x) for x in zip(*found, strict=True))
-            if not labelled and len(i) > 1:
-                kept = _forest(i, j, est)
-                i, j, est = i[kept], j[kept], est[kept]
-            add(i, j, est)
+            both = common(sets, left, right)
+            ok = (100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)) & (own[left][:, None] != own[right][None, :])
+            i, j = np.nonzero(ok)
+            _, one = np.unique(np.stack([own[left[i]], own[right[j]]]), axis=1, return_index=True)  # a link for each two labels
+            i, j = left[i[one]], right[j[one]]
+            _, node = np.unique(np.concatenate([own[i], own[j]]), return_inverse=True)
+            kept = _forest(node[: len(i)], node[len(i) :], both[np.searchsorted(left, i), np.searchsorted(right, j)])
+            first.append(k[a + i[kept]])
+            second.append(k[a + j[kept]])
         if first:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (first, second, score)], names=["a", "b", "est"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (first, second)], names=["a", "b"])
+
+    def arrays(batch: pa.RecordBatch) -> tuple:
+        tokens = np.empty(batch.num_rows, object)
+        tokens[:] = batch.column("tokens").to_pylist()
+        return (*(batch.column(c).to_numpy() for c in ("side", "k", "label")), tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for whole in batches:
-            for a in range(0, whole.num_rows, 50_000):
-                batch = whole.slice(a, 50_000)
-                bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(-1, POSITIONS)
-                held.append((*(batch.column(c).to_numpy() for c in ("leaf", "k", "n", "label")), bits))
-                leaf, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
-                runs = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]])
-                yield from compare(runs, *rest)
-                last = runs[-1]  # its leaf may go on
-                held = [(leaf[last:], *(x[last:] for x in rest))]
-        if held:
-            leaf, *rest = held[0]
-            yield from compare(np.array([0, len(leaf)]), *rest)
+        small = (part.slice(a, 500) for part in batches for a in range(0, part.num_rows, 500))
+        return _held(small, arrays, compare)
 
     return run
 
@@ -209,39 +305,57 @@ def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("n"), pa.array(bits, pa.binary())], names=["k", "n", "bits"])
 
 
-def nodes(classes: DataFrame, percent: int, recall: float) -> DataFrame:
-    """(leaf, k): the nodes of the classes (k, sketch) that are compared exhaustively."""
+def nodes(classes: DataFrame, percent: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(node, k) of the classes (k, sketch): nodes small enough to be compared exhaustively, and those still large at the last depth."""
     similarity = percent / 100
     second, n_trees = 1 / similarity - 1, trees(similarity, recall)
     rows = classes.select("k", "sketch").mapInArrow(_descend(n_trees, DEPTHS[0], second), "node long, k long")
-    leaves = []
+    leaves, large = [], None
     for depth, deeper in zip(DEPTHS, (*DEPTHS[1:], None), strict=True):
-        counted = rows.groupBy("node").agg(F.count("*").alias("c")).where("c > 1")
+        counted = cut(rows.groupBy("node").agg(F.count("*").alias("c")).where("c > 1"))  # written, so Spark can split a node that many rows join
         rows = cut(rows.join(counted, "node"))
-        leaves.append(rows.where(F.col("c") <= LEAF).select(F.col("node").alias("leaf"), "k"))
-        large = rows.where(F.col("c") > LEAF)
-        if large.isEmpty():
+        leaves.append(rows.where(F.col("c") <= LEAF).select("node", "k"))
+        large = rows.where(F.col("c") > LEAF).select("node", "k")
+        if deeper is None or large.isEmpty():
             break
-        if deeper is None:
-            chunk = F.pmod(F.xxhash64("k", "node"), F.ceil(F.col("c") / LEAF))
-            leaves.append(large.select(F.xxhash64("node", chunk).alias("leaf"), "k"))
-        else:
-            met = large.select("node", "k").join(classes.select("k", "sketch"), "k").repartition(F.xxhash64("node", "k"))  # neither nodes nor classes alone are even
-            rows = met.mapInArrow(_descend(n_trees, deeper - depth, second), "node long, k long")
-    return cut(reduce(DataFrame.union, leaves))
+        met = large.join(classes.select("k", "sketch"), "k").repartition(F.xxhash64("node", "k"))  # neither nodes nor classes alone are even
+        rows = met.mapInArrow(_descend(n_trees, deeper - depth, second), "node long, k long")
+    return cut(reduce(DataFrame.union, leaves)), cut(large)
 
 
-def candidates(leaves: DataFrame, classes: DataFrame, percent: int, labels: DataFrame | None = None) -> DataFrame:
-    """(a, b, est) with a < b: forests of the leaves' candidates or, given labels (k, label), all between labels."""
-    similarity = percent / 100
-    bits = classes.select("k", "n", "sketch").mapInArrow(_low_bytes, "k long, n long, bits binary")
-    bits = bits.withColumn("label", F.col("k")) if labels is None else bits.join(labels, "k")
-    dealt = leaves.join(bits, "k").select("leaf", "k", "n", "label", "bits").repartition("leaf").sortWithinPartitions("leaf")
-    least = similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / POSITIONS)
-    met = dealt.mapInArrow(_pairs(percent, least, labels is not None), "a long, b long, est double")
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit").sortWithinPartitions("unit")
+
+
+def forests(small: DataFrame, large: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b, est) with a < b: the first look. Large nodes are dealt into chunks of about LEAF classes."""
+    counted = cut(large.groupBy("node").agg(F.count("*").alias("c")))
+    chunk = F.pmod(F.xxhash64("k", "node"), F.ceil(F.col("c") / LEAF))
+    units = small.select(F.col("node").alias("unit"), "k").union(large.join(counted, "node").select(F.xxhash64("node", chunk).alias("unit"), "k"))
+    met = _dealt(units.join(bits, "k").select("unit", "k", "n", "bits")).mapInArrow(_forests(percent), "a long, b long, est double")
     return cut(met.groupBy("a", "b").agg(F.max("est").alias("est")))
 
 
+def units(small: DataFrame, large: DataFrame, ends: DataFrame, labels: DataFrame) -> DataFrame:
+    """(unit, side, k, label): the second look. ends (k): all classes with a candidate; others of small nodes have none there."""
+    own = F.coalesce("label", "k").alias("label")
+    few = small.join(ends, "k", "left_semi").join(labels, "k", "left").select("node", "k", own)
+    mixed = cut(few.groupBy("node").agg(F.min("label").alias("one"), F.max("label").alias("two")).where("one != two").select("node"))
+    few = few.join(mixed, "node").select(F.col("node").alias("unit"), F.lit(0).alias("side"), "k", "label")
+    many = cut(large.join(labels, "k", "left").select("node", "k", own))
+    counts = many.groupBy("node", "label").agg(F.count("*").alias("m")).groupBy("node")
+    counts = cut(counts.agg(F.sum("m").alias("c"), F.max(F.struct("m", "label")).alias("most")).where("c > most.m"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    many = many.join(counts, "node").withColumn("outside", F.col("label") != F.col("most.label"))
+    many = many.withColumn("lefts", blocks(F.col("c") - F.col("most.m"))).withColumn("rights", blocks(F.col("c")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("k"), F.col(n)).cast("int")
+    left = many.where("outside").select("node", F.lit(1).alias("side"), "k", "label", place("lefts").alias("i"), every("rights").alias("j"))
+    right = many.select("node", F.lit(2).alias("side"), "k", "label", place("rights").alias("j"), every("lefts").alias("i"))
+    both = left.unionByName(right).select(F.xxhash64("node", "i", "j").alias("unit"), "side", "k", "label")
+    return few.union(both)
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,16 +370,6 @@ def _confirm(percent: int):
     return run
 
 
-def _central(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(label, h): the HUBS members of each component with the most candidates of five or more."""
-    ends = pairs.select(F.col("a").alias("k"), "est").union(pairs.select("b", "est"))
-    best = ends.groupBy("k").agg(F.avg("est").alias("mean"), F.count("*").alias("c")).where("c >= 5").join(labels, "k")
-    for by in (("label", "part"), ("label",)):  # by parts first, so a large component isn't sorted as one
-        order = Window.partitionBy(*by).orderBy(F.desc("c"), F.desc("mean"), "k")
-        best = best.withColumn("part", F.pmod(F.xxhash64("k"), 64)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
-    return best.select("label", F.col("k").alias("h"))
-
-
 class _Links:
     """Confirmed links, and the components that they make."""
 
@@ -285,13 +389,15 @@ class _Links:
     def confirm(self, pairs: DataFrame) -> None:
         left = pairs.select("a", "b").join(self.sets.select(F.col("k").alias("a"), F.col("tokens").alias("x")), "a")
         both = left.join(self.sets.select(F.col("k").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-        found = both.mapInArrow(_confirm(self.percent), "a long, b long")
+        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"))
+
+    def add(self, found: DataFrame) -> None:
         self.links = cut(found if self.links is None else self.links.union(found))
         self.labels = components(self.links).select(F.col("node").alias("k"), F.col("component").alias("label"))
 
 
-def connect(first: DataFrame, again, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame | None:
-    """(k, label): components on full sets (k, tokens). first: candidates (a, b, est); again: from labels of all classes in first to further ones."""
+def connect(small: DataFrame, large: DataFrame, first: DataFrame, bits: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame | None:
+    """(k, label): components on full sets (k, tokens), from the nodes and the first look's candidates."""
     state, live = _Links(sets, percent), first
     for turn in range(rounds + 1):
         live = cut(state.between(live))
@@ -306,24 +412,28 @@ def connect(first: DataFrame, again, sets: DataFrame, percent: int, rounds: int
     if state.labels is None:
         return None
     ends = first.select(F.col("a").alias("k")).union(first.select("b")).distinct()
-    missed = cut(state.between(again(ends.join(state.labels, "k", "left").select("k", F.coalesce("label", "k").alias("label")))))
-    near = missed.select(F.col("a").alias("k"), F.col("lb").alias("label")).union(missed.select("b", "la")).distinct()
-    more = near.join(_central(first, state.labels), "label").where("k != h").select(F.least("k", "h").alias("a"), F.greatest("k", "h").alias("b"))
-    rest = missed.select("a", "b").union(more).distinct().join(first, ["a", "b"], "left_anti")
-    state.confirm(rest)
+    rows = units(small, large, ends, state.labels).join(bits, "k").select("unit", "side", "k", "label", "n", "bits")
+    near = cut(_dealt(rows).mapInArrow(_open(percent), "unit long, side int, k long, label long"))
+    if near.isEmpty():
+        return state.labels
+    state.add(_dealt(near.join(sets, "k").select("unit", "side", "k", "label", "tokens")).mapInArrow(_links(percent), "a long, b long"))
     return state.labels
 
 
-def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for each row of docs, linking rows whose shingle sets have a Jaccard similarity of percent / 100."""
+def _resolved(docs: DataFrame, width: int, percent: int, recall: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, h, k, n) of docs, h a hash of the text, and classes (k, first) with the component's first row: its id and h, nulls last."""
     kind = docs.select(F.col(f"`{id_col}`").alias("id")).dtypes[0][1]
-    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    base = cut(slim.mapInArrow(_signatures(width), f"id {kind}, k long, n long, sketch binary"))
+    text = F.col(f"`{text_col}`")
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    base = cut(slim.mapInArrow(_signatures(width), f"id {kind}, h long, k long, n long, sketch binary"))
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     grouped = base.where("k is not null").groupBy("k")
-    classes = cut(grouped.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    leaves = nodes(classes, percent, recall)
-    pairs = candidates(leaves, classes, percent)
-    wanted = cut(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct().join(classes.select("k", "rep"), "k").select("k", F.col("rep").alias("id")))
+    classes = cut(grouped.agg(F.min(who).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    few, many = nodes(classes, percent, recall)
+    bits = cut(classes.select("k", "n", "sketch").mapInArrow(_low_bytes, "k long, n long, bits binary"))
+    pairs = forests(few, many, bits, percent)
+    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).union(many.select("k")).distinct()
+    wanted = cut(wanted.join(classes.select("k", "rep"), "k").select("k", "rep.id", "rep.h"))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -333,29 +443,39 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: floa
                 same = [k == w for (k, _), w in zip(found, batch.column("k").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], names=["k", "tokens"]).filter(pa.array(same, pa.bool_()))
 
-    of = small(wanted, wanted.count(), 500_000)  # beyond the bound the texts are shuffled by id
-    on = F.col("d.id").eqNullSafe(F.col("w.id"))
+    of = small(wanted, wanted.count(), 500_000)  # beyond the bound the texts are shuffled by id and hash, one class for each
+    on = F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.h") == F.col("w.h"))
     sets = cut(slim.alias("d").join(of.alias("w"), on).select("w.k", "d.text").mapInArrow(tokens, "k long, tokens binary").dropDuplicates(["k"]))
-    labels = connect(pairs, lambda known: candidates(leaves.join(known.select("k"), "k", "left_semi"), classes, percent, known), sets, percent)
+    labels = connect(few, many, pairs, bits, sets, percent)
     labels = classes.select("k", F.col("k").alias("label")).limit(0) if labels is None else labels
     named = classes.select("k", "rep").join(labels, "k", "left").select("k", "rep", F.coalesce("label", "k").alias("label"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    found = cut(named.join(least, "label").select("k", "component_id"))
+    least = cut(named.groupBy("label").agg(F.min("rep").alias("first")))
+    return base.drop("sketch"), cut(named.join(least, "label").select("k", "first"))
+
+
+def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) for each row of docs, linking rows whose shingle sets have a Jaccard similarity of percent / 100."""
+    base, found = _resolved(docs, width, percent, recall, id_col, text_col)
     out = base.select("id", "k", "n").join(found, "k", "left")
-    own = F.when(F.col("k").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    own = F.when(F.col("k").isNull(), F.col("id")).otherwise(F.col("first.id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs without the rows whose component has a smaller id.
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without all rows of each component but its first, by id (nulls last) and the text's hash.
 
-    Rows with the same id stay or go together, as one document; of those with the same text too one stays.
+    Rows that repeat id and text are one document, of which one row stays. Documents without words all stay.
     """
-    text_col = options.get("text_col", "text")
-    found = deduplicate(docs, id_col=id_col, **options)
-    keep = cut(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_rows")))
-    of = small(keep, keep.count(), 500_000)
-    own = [F.col(f"d.`{c}`") for c in docs.columns]
-    rows = docs.alias("d").join(of, F.col(f"d.`{id_col}`").eqNullSafe(F.col("_kept"))).select(*own, "_rows")
-    once, often = rows.where("_rows = 1").drop("_rows"), rows.where("_rows > 1").drop("_rows")
-    return once.union(often.dropDuplicates([id_col, text_col])) if not keep.where("_rows > 1").isEmpty() else once
+    base, found = _resolved(docs, width, percent, recall, id_col, text_col)
+    rows = base.select("id", "h", "k").join(found, "k", "left")
+    later = F.col("k").isNotNull() & ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")))
+    rows = cut(rows.groupBy("id", "h").agg(F.max(later).alias("later"), F.count("*").alias("rows")).where("later or rows > 1"))
+    of = small(rows, rows.count(), 500_000)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.select(F.struct(*own).alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    whole = whole.alias("d").join(of.alias("r"), F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.h") == F.col("r.h")), "left")
+    whole = whole.where(~F.coalesce("later", F.lit(False))).select("row", "d.id", "d.h", "rows")
+    once = whole.where("rows is null").select("row.*")
+    if rows.where("rows > 1 and not later").isEmpty():
+        return once
+    return once.union(whole.where("rows is not null").dropDuplicates(["id", "h"]).select("row.*"))

@@ -76,6 +76,40 @@ def test_documents_equal_brute_force(spark, width):
     assert got == expected(rows, width)
 
 
+def test_a_group_of_two_thousand_keeps_its_links(spark):
+    """Copies that are linked with few of the others: nodes stay large at every depth."""
+    rng = np.random.default_rng(11)
+    base, texts = [f"b{i}" for i in range(60)], []
+    for i in range(2000):
+        own = list(base)
+        for place in rng.choice(60, rng.integers(1, 6), replace=False):
+            own[place] = f"x{i}y{place}"
+        texts.append(" ".join(own))
+    number: dict = {}
+    rows = [[number.setdefault(t, len(number)) for t in sets(text, 2)] for text in texts]
+    has = np.zeros((2000, len(number)), np.float32)
+    for i, own in enumerate(rows):
+        has[i, own] = 1
+    both, n = has @ has.T, has.sum(1)
+    i, j = np.nonzero(np.triu(100 * both >= 80 * (n[:, None] + n[None, :] - both), 1))
+    root = np.array(roots(2000, zip(i.tolist(), j.tolist(), strict=True)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.deduplicate(docs, width=2).collect()}
+    own = np.array([got[k] for k in range(2000)])
+    assert (root[own] == root).all()  # nothing is linked that shouldn't be
+    assert (own[i] == own[j]).mean() >= 0.999 and 1 < len(set(root.tolist())) < 2000
+
+
+def test_columns_that_clash_stay(spark):
+    rows = [(1, "a b c d e f g", 5), (2, "a b c d e f g", 6), (None, "a b c d e f g", 7), (None, "a b c d e f g", 8), (None, None, 9), (3, "", 1)]
+    docs = spark.createDataFrame([(*r, *"uvwxyz") for r in rows], "doc_id long, text string, _rows int, h string, k string, row string, later string, first string, rows string")
+    kept = near_dedup.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r._rows, r.h, r.rows) for r in kept.collect()) == [(1, "u", "z"), (5, "u", "z"), (9, "u", "z")]
+    alone = docs.where("doc_id is null and text is not null")
+    assert near_dedup.keep_first(alone).count() == 1
+
+
 def test_documents_without_ids_and_rows_that_repeat(spark):
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (7, "other words here"), (9, None), (9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
