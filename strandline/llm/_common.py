@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that driver and executors share; a local one only where none is set (tests)."""
+    """The checkpoint folder that driver and executors share; a local one only in local mode where none is set."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandline-"))
+        if not named:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            warnings.warn("spark.checkpoint.dir isn't set; a temporary folder of this machine is used", stacklevel=2)
+            named = tempfile.mkdtemp(prefix="strandline-")
+        sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
@@ -41,6 +48,27 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which the file system removes when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a path of ``scratch`` before that."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: columns that a later step doesn't need aren't read again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def gathered(df: DataFrame, rows: int, each: int = 200_000) -> DataFrame:
     """df in as few partitions as hold ``each`` of its counted rows; a few rows aren't dealt over all tasks."""
     return df.coalesce(rows // each + 1)

@@ -3,11 +3,16 @@
 Each rule votes good (1) or bad (-1) or abstains (0). Documents are counted by their pattern of votes; there are at
 most 3 ** N_RULES patterns, so expectation-maximisation over the counts works on a table of fixed size. It
 estimates the share of good documents and how often each rule votes wrongly on good and on bad ones, and the posterior probability of
-good given a document's votes replaces the demand that every rule passes.
+good given a document's votes replaces the demand that every rule passes. A rule that alone is against a document the
+others approve of is outvoted; rules that agree on bad documents gain weight.
+
+What is presumed of the rules before any vote (``PRESUMED``) weighs as much as the share ``WEIGHT`` of each rule's votes,
+whatever their number. It keeps the two kinds apart and no rule infallible: without it the likeliest good kind is that
+of documents without any bad vote, which is the demand that every rule passes again.
 
 All columns are native expressions; each statistic covers the whole text. A null text has no words and fails the
-base test. Ties between posterior and threshold keep the document. An empty table gives an empty result. ``keep`` returns
-whole rows whatever their columns.
+base test. Repeated rows have equal results. Ties between posterior and threshold keep the document. An empty table
+gives an empty result. ``report`` ignores other columns; ``keep`` returns whole rows whatever their columns.
 """
 
 from __future__ import annotations
@@ -17,9 +22,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._common import SPACE, cut, words
+from strandline.llm._common import SPACE, cut, words, written
 
 SYMBOLS = "#*$%&|<>"
+#: Digits and punctuation of ASCII.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalpha())
 WINDOW = 5
 THRESHOLD = 0.5
 
@@ -60,6 +67,8 @@ def figures(text: Column) -> Column:
             "n_lines": F.size(p["lines"]),
             "n_distinct": F.size(F.array_distinct(p["hashes"])),
             "n_loud": F.length(p["bare"]) - F.length(F.translate(p["bare"], "ABCDEFGHIJKLMNOPQRSTUVWXYZ!", "")),
+            "n_marks": F.length(p["bare"]) - F.length(F.translate(p["bare"], MARKS, "")),
+            "n_symbol_runs": F.regexp_count(p["bare"], F.lit(f"[{SYMBOLS}]+")),
         }
         return F.struct(*[c.cast("long").alias(n) for n, c in whole.items()])
 
@@ -76,6 +85,7 @@ def rules(f: Column) -> dict[str, Column]:
     n = f["n_words"]
     length, symbols, dup = ratio("word_chars", "n_words"), ratio("n_symbols", "word_chars"), ratio("n_dup_lines", "n_lines")
     repeat, variety, loud = ratio("n_repeat_words", "n_words"), ratio("n_distinct", "n_words"), ratio("n_loud", "word_chars")
+    runs, marks = ratio("n_symbol_runs", "n_words"), ratio("n_marks", "word_chars")
     enough = n >= 20
     return {
         "length": _vote(n >= 30, n < 10),
@@ -85,6 +95,8 @@ def rules(f: Column) -> dict[str, Column]:
         "repeated_words": _vote(enough & (repeat < 0.05), repeat > 0.2),
         "variety": _vote((n >= 50) & (variety > 0.25), (n >= 50) & (variety < 0.15)),
         "loudness": _vote(enough & (loud < 0.1), loud > 0.4),
+        "symbol_runs": _vote(enough & (runs < 0.02), runs > 0.1),
+        "marks": _vote(enough & (marks < 0.06), enough & (marks > 0.09)),
     }
 
 
@@ -101,13 +113,13 @@ def _vote_of(code: Column, j: int) -> Column:
 
 
 #: As many as ``rules`` has.
-N_RULES = 7
-
-
-#: Bad and good votes that a rule is taken to have cast on good and on bad documents before any is seen.
-PSEUDO = {1: (0.1, 99.9), 0: (30.0, 70.0)}
-#: Most of its votes on good documents that a rule is taken to cast wrongly; without a bound the two kinds could change places.
-MOST_FALSE = 0.001
+N_RULES = 9
+#: The chance of a bad vote, by a rule that votes, on good (1) and on bad documents (0), as it is presumed.
+PRESUMED = {1: 0.05, 0: 0.3}
+#: The share of a rule's votes that the presumption weighs as much as.
+WEIGHT = 0.5
+#: The model that the rounds begin with.
+START = {1: 0.02, 0: 0.5}
 #: The share of good documents (first) and each rule's chance of a bad vote, if it votes, on good (1) and on bad documents (0).
 Model = tuple[float, dict[int, list[float]]]
 
@@ -122,29 +134,30 @@ def _posterior(code: Column, model: Model) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def fit(codes: DataFrame, rounds: int = 30) -> Model:
-    """The model of (code) by expectation-maximisation over the counted patterns; a row of sums comes back each round.
-
-    ``PSEUDO`` keeps rules that never vote defined. Most documents are taken to be good.
-    """
+def fit(codes: DataFrame, rounds: int = 100) -> Model:
+    """The model of (code) by expectation-maximisation over the counted patterns; a row of sums comes back each round."""
     counts = cut(codes.groupBy("code").agg(F.count("*").alias("n")).coalesce(1))
-    model: Model = (0.9, {y: [PSEUDO[y][0] / sum(PSEUDO[y])] * N_RULES for y in (0, 1)})
+    model: Model = (0.9, {y: [START[y]] * N_RULES for y in (0, 1)})
     for _ in range(rounds):
         n, p = F.col("n"), F.col("p")
         sums = [F.sum(F.when(_vote_of(F.col("code"), j) == v, w).otherwise(0.0)).alias(f"y{y}_{j}_{v}") for y, w in ((1, n * p), (0, n * (1 - p))) for j in range(N_RULES) for v in (-1, 1)]
         got = counts.withColumn("p", _posterior(F.col("code"), model)).agg(F.sum(n * p).alias("good"), F.sum(n).alias("all"), *sums).first()
         if not got["all"]:
             break
-        rate = lambda y, j, r=got: (r[f"y{y}_{j}_-1"] + PSEUDO[y][0]) / (r[f"y{y}_{j}_-1"] + r[f"y{y}_{j}_1"] + sum(PSEUDO[y]))
-        bad = {1: [min(MOST_FALSE, rate(1, j)) for j in range(N_RULES)], 0: [min(0.99, max(0.02, rate(0, j))) for j in range(N_RULES)]}
-        new = ((got["good"] + 90) / (got["all"] + 100), bad)
-        moved = max(abs(a - b) for y in (0, 1) for a, b in zip(bad[y], model[1][y], strict=True))
+        new = step(got["good"], got["all"], {y: [(got[f"y{y}_{j}_-1"], got[f"y{y}_{j}_1"]) for j in range(N_RULES)] for y in (0, 1)})
+        moved = max(abs(a - b) for y in (0, 1) for a, b in zip(new[1][y], model[1][y], strict=True))
         model = new
         if moved < 1e-4:
             break
     return model
 
 
+def step(good: float, every: float, votes: dict[int, list[tuple[float, float]]]) -> Model:
+    """The next model, from the expected numbers of good documents and of each rule's bad and good votes by kind."""
+    rate = lambda y, bad, ok: (bad + PRESUMED[y] * (WEIGHT * (bad + ok) + 1)) / ((1 + WEIGHT) * (bad + ok) + 1)
+    return (good + 9) / (every + 10), {y: [rate(y, *v) for v in own] for y, own in votes.items()}
+
+
 def base_failed(f: Column) -> Column:
     return (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
 
@@ -156,10 +169,12 @@ def verdict(f: Column, model: Model, threshold: float = THRESHOLD) -> Column:
 
 
 def keep(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that are kept. Texts are measured once for the fit and once for the verdict, so none is stored or moved."""
-    text = F.col(f"`{text_col}`")
-    model = fit(docs.select(_let(figures(text), pattern).alias("code")))
-    return docs.where(_let(figures(text), lambda f: verdict(f, model, threshold)["kept"]))
+    """The rows of docs that are kept. Texts are measured once; rows wait for the fit in the shared folder, with their votes."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    voted = lambda f: F.struct(pattern(f).alias("code"), base_failed(f).alias("failed"))
+    rows = written(docs.select(row, _let(figures(F.col(f"`{text_col}`")), voted).alias("v")), "quality")
+    model = fit(rows.select("v.code"))
+    return rows.where(~F.col("v.failed") & (_posterior(F.col("v.code"), model) >= threshold)).select("row.*")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -150,5 +151,50 @@ def test_quality_keeps_clean_and_drops_bad(spark):
     assert quality.keep(docs).columns == docs.columns
 
 
+def test_votes_are_weighed_as_by_plain_code(spark):
+    """EM over documents one by one, from votes drawn at random, and the shared model's verdicts on them."""
+    rng, rows = random.Random(9), []
+    for _ in range(600):
+        good = rng.random() < 0.8
+        rows.append([0 if rng.random() < 0.2 else (-1 if rng.random() < ((0.03 if good else 0.6) if j else 0.3) else 1) for j in range(quality.N_RULES)])
+    prior, bad = 0.9, {y: [quality.START[y]] * quality.N_RULES for y in (0, 1)}
+    for _ in range(100):
+        p = []
+        for votes in rows:
+            like = {1: prior, 0: 1 - prior}
+            for j, v in enumerate(votes):
+                for y in like:
+                    like[y] *= {-1: bad[y][j], 1: 1 - bad[y][j], 0: 1}[v]
+            p.append(like[1] / (like[1] + like[0]))
+        last = bad
+        prior, bad = (sum(p) + 9) / (len(rows) + 10), {}
+        for y in (0, 1):
+            bad[y] = []
+            for j in range(quality.N_RULES):
+                weight = lambda v, y=y, j=j: sum((q if y else 1 - q) for q, votes in zip(p, rows, strict=True) if votes[j] == v)
+                wrong, every = weight(-1), weight(-1) + weight(1)
+                bad[y].append((wrong + quality.PRESUMED[y] * (0.5 * every + 1)) / (1.5 * every + 1))
+        if max(abs(a - b) for y in (0, 1) for a, b in zip(bad[y], last[y], strict=True)) < 1e-4:
+            break
+    codes = spark.createDataFrame([(sum((v + 1) * 3**j for j, v in enumerate(votes)),) for votes in rows], "code int")
+    model = quality.fit(codes)
+    assert model[0] == pytest.approx(prior) and all(model[1][y] == pytest.approx(bad[y]) for y in (0, 1))
+    got = [r.p for r in codes.select(quality._posterior(F.col("code"), (prior, bad)).alias("p")).collect()]
+    assert [g >= 0.5 for g in got] == [q >= 0.5 for q in p]
+    assert any(g >= 0.5 and -1 in votes for g, votes in zip(got, rows, strict=True)) and bad[1][0] > 3 * max(bad[1][1:])
+
+
+def test_quality_agrees_with_the_labels_and_outvotes_single_rules(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.report(docs).join(labels, "doc_id", "left").collect()
+    told = [r for r in got if r.quality is not None and not r.base_failed]
+    assert all(r.kept for r in told if r.quality == 1) and sum(not r.kept for r in told if r.quality == 0) >= 0.9 * sum(r.quality == 0 for r in told)
+    votes = docs.select("doc_id", quality._let(quality.figures(F.col("text")), quality.pattern).alias("code")).collect()
+    bad = {r.doc_id for r in votes if any(r.code // 3**j % 3 == 0 for j in range(quality.N_RULES))}
+    assert sum(r.kept and r.doc_id in bad for r in got) >= 5
+    assert {r.doc_id for r in got if r.kept} == {r.doc_id for r in quality.keep(docs).collect()}
+
+
 def test_quality_of_nothing(spark, docs):
     assert quality.report(docs.limit(0)).collect() == [] and quality.keep(docs.limit(0)).collect() == []
