@@ -91,16 +91,36 @@ def test_mix_reaches_its_targets(spark, docs):
 
 
 def test_mix_is_the_same_again_and_agrees_with_its_plan(spark, docs):
-    plan = mixing.plan(docs.where("doc_id is not null"))
-    assert Counter(plan.collect()) == Counter(mixing.plan(docs.where("doc_id is not null").repartition(7)).collect())
-    rows = mixing.mix(docs.where("doc_id is not null"), levels=2)
+    plan = mixing.plan(docs)
+    key = lambda r: (r.doc_id, r.source, r.size, r.taken, tuple(sorted(zip(r.shards, r.places, strict=True))))
+    assert Counter(map(key, plan.collect())) == Counter(map(key, mixing.plan(docs.repartition(7)).collect()))
+    rows = mixing.mix(docs, levels=2)
     copies = Counter()
-    for r in plan.collect():
-        copies[r.doc_id] += r.copies
-    assert Counter(r.doc_id for r in rows.collect()) == +copies
+    for r in mixing.plan(docs, levels=2).collect():
+        assert len(r.shards) == r.copies and r.taken == r.copies * r.size
+        for s, p in zip(r.shards, r.places, strict=True):
+            copies[r.doc_id, s, p] += 1
+    assert Counter((r.doc_id, r._shard, r._place) for r in rows.collect()) == copies
     assert rows.columns == [*docs.columns, "_shard", "_place"] and {r._shard for r in rows.collect()} <= set(range(4))
 
 
+def test_rows_without_ids_are_drawn_one_by_one(spark):
+    rows = [(None, f"three words {i}", f"s{i % 3}") for i in range(150)] + [(None, "the same row", "s0")] * 60 + [(7, "the same id", "s1")] * 40
+    docs = frame(spark, rows).selectExpr("*", "1 as _shard", "'h' as row", "5 as drawn")
+    got = mixing.plan(docs).collect()
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += 3
+    want = targets(sizes)
+    for s in sizes:
+        assert abs(sum(r.taken for r in got if r.source == s) - want[s]) <= 3
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [c for c in docs.columns if c != "_shard"] + ["_shard", "_place"]
+    assert mixed.count() == sum(r.copies for r in got) and {r.row for r in mixed.collect()} == {"h"}
+    order = [(r._shard, r._place) for r in mixing.shuffled(mixed).collect()]
+    assert order == sorted(order)
+
+
 def test_splitting_tree_keeps_quotas_and_halves_nodes(spark):
     quota = spark.createDataFrame([("a", 1, 99, None), ("b", 0, 31, None), (None, 2, None, None)], "source string, passes int, edge int, last long")
     drawn = mixing.tree(quota, 3, 5).collect()
