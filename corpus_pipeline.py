@@ -9,13 +9,11 @@ columns of the input pass through all stages but the last. An empty table passes
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import bpe, language, mixing, near_dedup, quality
-from strandline.llm._common import remainder, shared_folder, table
+from strandline.llm._common import remainder, remove, scratch, table
 from strandline.llm.queries import vocabulary
 
 #: The share of a document that its main language must have.
@@ -44,8 +42,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target weights; a document is in as often as the mix takes it."""
-    return _only(mixing.mix(docs), docs)
+    """Sources in their target weights; a document is in as often as the mix's shards drew it, shard by shard in shuffled order."""
+    return _only(mixing.shuffled(mixing.mix(docs)), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        path = scratch(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if last:
+            remove(spark, last)
+        last = path
     return docs
