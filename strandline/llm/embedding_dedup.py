@@ -2,18 +2,21 @@
 
 A unit vector is rotated at random and stored as its signs plus one factor, the inner product of the vector with its
 own sign vector; from these and another vector's scalar-quantised rotation an inner product is estimated without
-bias, and the factor bounds the estimate's error. A pair is recomputed in double precision unless its upper bound is
-below the threshold, so no link rests on an estimate.
+bias, and the factor bounds the estimate's error. Codes of several rotations are stored, once for each vector, and looked at one
+after the other: a pair goes on to the next while its upper bound reaches the threshold, and what all of them leave is recomputed in
+double precision, so no link rests on an estimate.
 
 Pairs are looked for among vectors that agree on all signs of one of several bands of rotated coordinates. Bands are
 as wide as the number of vectors asks for and as many as the recall asks for. A bucket with more than ``BLOCK`` vectors is
 compared block against block, each pair of blocks a unit of its own, so one common direction is spread over many
 tasks; links are counted where they are found (in the first band that a pair shares) and only a spanning forest of a
-unit leaves it. Identical vectors are one class with a weight.
+unit leaves it. Identical vectors are one class with a weight. A vector travels with its codes, once for each band and
+block, in the precision it came in: the pairs that need it are met where they are found and none is sent.
 
-Null vectors, and those with a zero norm or a null or non-finite component, are linked with nothing. Vectors of
-different lengths aren't compared. Rows with the same id keep apart unless their vectors link. An empty table gives
-an empty result. Classes are 64-bit hashes of the components.
+Null vectors, and those that are zero or hold a null or non-finite component, are linked with nothing; vectors are
+scaled before they are squared, so none over- or underflows. Vectors of different lengths aren't compared. Rows with the same id
+keep apart unless their vectors link. Other columns are ignored. An empty table gives an empty result. Classes are
+64-bit hashes of the components.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._common import cut
+from strandline.llm._common import cut, small
 from strandline.llm._components import components
 from strandline.llm._tokens import mix
 
 BLOCK = 1024
+#: Vectors in a bucket, on average, that the bands' width is chosen for.
+BUCKET = 512
 RECALL = 0.9995
 CODE_BITS = 256
 #: Width of the confidence bounds, in standard errors.
@@ -47,26 +52,32 @@ def rotation(dim: int, number: int) -> np.ndarray:
 
 def bands(n: int, threshold: float, recall: float = RECALL) -> tuple[int, int]:
     """Signs in a band, and bands, for n vectors."""
-    width = min(60, max(8, math.ceil(math.log2(max(n, 2) / 16))))
+    width = min(60, max(5, math.ceil(math.log2(max(n, 2) / BUCKET))))
     agree = (1 - math.acos(threshold) / math.pi) ** width
     return width, math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, k, vector): the class and float64 bytes of each vector, null if it can't be compared."""
+    """(id, k, vector): the class and the bytes of each vector, float32 if the column is, null if it can't be compared."""
     for batch in batches:
         key, data = [], []
-        column = batch.column(1).cast(pa.large_list(pa.float64()))
+        kind = np.float32 if batch.column(1).type.value_type == pa.float32() else np.float64
+        column = batch.column(1).cast(pa.large_list(pa.from_numpy_dtype(kind)))
         for v in column:
-            x = v.values.to_numpy(zero_copy_only=False) if v.is_valid else np.zeros(0)
-            with np.errstate(all="ignore"):
-                norm = np.linalg.norm(x)
-                good = bool(norm > 0 and np.isfinite(norm) and np.isfinite(x).all())
+            x = v.values.to_numpy(zero_copy_only=False).astype(kind) if v.is_valid else np.zeros(0, kind)
+            good = bool(np.isfinite(x).all() and x.any())
             key.append(xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if good else None)
             data.append(x.tobytes() if good else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.int64()), pa.array(data, pa.binary())], names=["id", "k", "vector"])
 
 
+def _units(vectors: list[bytes], kind: type) -> np.ndarray:
+    """Unit vectors in double precision, scaled by their largest component first."""
+    x = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 class Coder:
     """Signs, factors and quantised rotations of unit vectors of one dimension."""
 
@@ -83,29 +94,53 @@ class Coder:
             factors.append(np.abs(z).sum(1) / math.sqrt(self.dim))
         return np.stack(signs), np.stack(factors)
 
-    def estimate(self, unit: np.ndarray, signs: np.ndarray, factors: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-        """Inner products (query, coded) and half-widths of their confidence intervals, mean over the turns.
-
-        Queries are rounded at random to four bits, which keeps the estimate unbiased.
-        """
+    def _quantised(self, unit: np.ndarray, turn: int, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
+        """A rotation rounded at random to four bits, which keeps estimates unbiased: the planes of bits, their sums, and the least value and step."""
+        z = unit @ self.turns[turn]
+        low = z.min(1, keepdims=True)
+        step = np.maximum((z.max(1, keepdims=True) - low) / 15, 1e-12)
+        q = np.clip(np.floor((z - low) / step + rng.random(z.shape)), 0, 15).astype(np.uint8)
+        planes = np.stack([_pack((q >> bit) & 1 > 0) for bit in range(4)], 1)
+        return planes, q.sum(1, dtype=np.int64), low[:, 0], step[:, 0]
+
+    def _turn(self, inner: np.ndarray, ones: np.ndarray, factor: np.ndarray, q: np.ndarray, low: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimates of one rotation and their variances."""
+        whole = 2 * (step * inner + low * ones) - (step * q + low * self.dim)
+        variance = (1 - np.minimum(factor, 1) ** 2) / factor**2 / max(1, self.dim - 1)
+        return whole / math.sqrt(self.dim) / factor, variance + (step**2 / 4) / factor**2
+
+    def estimate(self, unit: np.ndarray, signs: np.ndarray, factors: np.ndarray, turns: int | None = None, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products (query, coded) and half-widths of their confidence intervals, mean over the turns."""
+        turns = len(self.turns) if turns is None else turns
         total, spread = np.zeros((len(unit), signs.shape[1])), np.zeros((len(unit), signs.shape[1]))
         rng = np.random.default_rng(seed)
-        for t, code, factor in zip(self.turns, signs, factors, strict=True):
-            z = unit @ t
-            low = z.min(1, keepdims=True)
-            step = np.maximum((z.max(1, keepdims=True) - low) / 15, 1e-12)
-            q = np.clip(np.floor((z - low) / step + rng.random(z.shape)), 0, 15).astype(np.uint8)
-            inner = np.zeros(total.shape)
+        for t in range(turns):
+            planes, q, low, step = self._quantised(unit, t, rng)
+            code, inner = signs[t], np.zeros(total.shape)
             for bit in range(4):
-                plane = _pack((q >> bit) & 1 > 0)
-                inner += (1 << bit) * np.bitwise_count(plane[:, None, :] & code[None, :, :]).sum(2, dtype=np.int64)
-            ones = np.bitwise_count(code).sum(1, dtype=np.int64)
-            whole = 2 * (step * inner + low * ones[None, :]) - (step * q.sum(1, dtype=np.int64, keepdims=True) + low * self.dim)
-            total += whole / math.sqrt(self.dim) / factor[None, :]
-            variance = (1 - np.minimum(factor, 1) ** 2) / factor**2 / max(1, self.dim - 1)
-            spread += variance[None, :] + (step**2 / 4) / (factor**2)[None, :]
-        n = len(self.turns)
-        return total / n, WIDTH * np.sqrt(spread) / n
+                inner += (1 << bit) * np.bitwise_count(planes[:, bit][:, None, :] & code[None, :, :]).sum(2, dtype=np.int64)
+            est, variance = self._turn(inner, np.bitwise_count(code).sum(1, dtype=np.int64)[None, :], factors[t][None, :], q[:, None], low[:, None], step[:, None])
+            total += est
+            spread += variance
+        return total / turns, WIDTH * np.sqrt(spread) / turns
+
+    def near(self, unit: np.ndarray, signs: np.ndarray, factors: np.ndarray, threshold: float, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs (query, coded) whose upper bound reaches the threshold after each of the turns."""
+        est, half = self.estimate(unit, signs, factors, 1, seed)
+        i, j = np.nonzero(est + half >= threshold)
+        total, spread = est[i, j], (half[i, j] / WIDTH) ** 2
+        rng = np.random.default_rng(seed + 1)
+        for t in range(1, len(self.turns)):
+            if not len(i):
+                break
+            planes, q, low, step = self._quantised(unit, t, rng)
+            code = signs[t][j]
+            inner = sum((1 << bit) * np.bitwise_count(planes[i, bit] & code).sum(1, dtype=np.int64) for bit in range(4))
+            est, variance = self._turn(inner, np.bitwise_count(code).sum(1, dtype=np.int64), factors[t][j], q[i], low[i], step[i])
+            total, spread = total + est, spread + variance
+            open_ = total / (t + 1) + WIDTH * np.sqrt(spread) / (t + 1) >= threshold
+            i, j, total, spread = i[open_], j[open_], total[open_], spread[open_]
+        return i, j
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -115,48 +150,56 @@ def _pack(bits: np.ndarray) -> np.ndarray:
     return packed.view(np.uint64)
 
 
-def _keys(width: int, n_bands: int):
-    """(k, w, vector) to (k, w, vector, keys): a hash of each band's signs."""
+def _coded(width: int, n_bands: int, kind: type):
+    """(k, w, vector) to (k, w, vector, signs, factors, bands, keys): the codes, the bands' signs, and a hash of each band's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, 2000):
                 batch = whole.slice(a, 2000)
-                size = pc.binary_length(batch.column("vector")).to_numpy() // 8
+                size = pc.binary_length(batch.column("vector")).to_numpy() // np.dtype(kind).itemsize
                 for dim in np.unique(size).tolist():
                     part = batch.filter(pa.array(size == dim))
-                    x = np.frombuffer(b"".join(part.column("vector").to_pylist()), np.float64).reshape(-1, dim)
+                    x = _units(part.column("vector").to_pylist(), kind)
+                    signs, factors = Coder(dim).encode(x)
                     turns = math.ceil(width * n_bands / dim)
                     bits = np.concatenate([x @ rotation(dim, 1000 + i) > 0 for i in range(turns)], 1)[:, : width * n_bands]
-                    values = (bits.reshape(len(x), n_bands, width) @ (1 << np.arange(width, dtype=np.uint64))).astype(np.uint64)
-                    keys = mix(values ^ mix(np.arange(n_bands, dtype=np.uint64) + np.uint64(dim << 20))[None, :]).view(np.int64)
+                    keys = mix(_values(bits, width) ^ mix(np.arange(n_bands, dtype=np.uint64) + np.uint64(dim << 20))[None, :]).view(np.int64)
                     lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), n_bands).cast(pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([part.column("k"), part.column("w"), part.column("vector"), lists], names=["k", "w", "vector", "keys"])
+                    stored = [np.ascontiguousarray(c.swapaxes(0, 1)) for c in (signs, factors.astype(np.float32))]
+                    codes = [pa.array([r.tobytes() for r in c], pa.binary()) for c in (*stored, np.packbits(bits, axis=1))]
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("k", "w", "vector")), *codes, lists], names=["k", "w", "vector", "signs", "factors", "bands", "keys"])
 
     return run
 
 
-def _compare(threshold: float):
-    """Units of rows (unit, band, side, k, w, vector, keys) sorted by unit: counts of links, and a forest of them.
+def _values(bits: np.ndarray, width: int) -> np.ndarray:
+    """Each band's signs as a number."""
+    return (bits.reshape(len(bits), -1, width) @ (1 << np.arange(width, dtype=np.uint64))).astype(np.uint64)
+
+
+def _compare(threshold: float, width: int, kind: type):
+    """Units of rows (unit, band, side, k, w, vector, signs, factors, bands) sorted by unit: counts of links, and a forest of them.
 
     Rows with side 0 alone are compared with each other; with sides 1 and 2, across. Returns (k, other, n): n links
     of k if other is null, else an edge of the forest.
     """
 
-    def unit(band: int, side: np.ndarray, k: np.ndarray, w: np.ndarray, x: np.ndarray, keys: np.ndarray, out: list) -> None:
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    def unit(rows: pa.Table, out: list) -> None:
+        band, (side, k, w) = rows.column("band")[0].as_py(), (rows.column(c).to_numpy() for c in ("side", "k", "w"))
         across = side.max() > 0
         left, right = (np.flatnonzero(side == 1), np.flatnonzero(side == 2)) if across else (np.arange(len(k)), np.arange(len(k)))
         if not len(left) or not len(right):
             return
-        coder = Coder(x.shape[1])
-        signs, factors = coder.encode(x[right])
+        x = _units(rows.column("vector").to_pylist(), kind)
+        coder, words = Coder(x.shape[1]), -(-x.shape[1] // 64)
+        of = lambda name, kind: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(len(k), len(coder.turns), -1).swapaxes(0, 1)[:, right]
+        signs, factors = of("signs", np.uint64).reshape(len(coder.turns), len(right), words), of("factors", np.float32)[..., 0].astype(np.float64)
         first, second = [], []
         for a in range(0, len(left), 128):
-            rows = left[a : a + 128]
-            est, half = coder.estimate(x[rows], signs, factors)
-            i, j = np.nonzero(est + half >= threshold)  # the others can't reach it
-            i, j = rows[i], right[j]
+            some = left[a : a + 128]
+            i, j = coder.near(x[some], signs, factors, threshold)  # the others can't reach it
+            i, j = some[i], right[j]
             if not across:
                 i, j = i[i < j], j[i < j]
             for b in range(0, len(i), 20_000):
@@ -169,7 +212,12 @@ def _compare(threshold: float):
         i, j = np.concatenate(first), np.concatenate(second)
         if not len(i):
             return
-        new = ~(keys[i, :band] == keys[j, :band]).any(1) if band else np.ones(len(i), bool)
+        new = np.ones(len(i), bool)
+        if band:
+            packed = np.stack([np.frombuffer(b, np.uint8) for b in rows.column("bands").to_pylist()])
+            values = _values(np.unpackbits(packed, axis=1, count=packed.shape[1] * 8 // width * width)[:, : band * width], width)
+            for b in range(0, len(i), 20_000):
+                new[b : b + 20_000] = ~(values[i[b : b + 20_000]] == values[j[b : b + 20_000]]).any(1)
         n = np.bincount(i[new], w[j[new]], len(k)) + np.bincount(j[new], w[i[new]], len(k))
         label = np.arange(len(k))
         while True:
@@ -198,10 +246,7 @@ def _compare(threshold: float):
             done = len(starts) if last else len(starts) - 1
             for a, b in zip(starts[:done].tolist(), ends[:done].tolist(), strict=True):
                 if b - a > 1:
-                    part = rows.slice(a, b - a)
-                    x = np.frombuffer(b"".join(part.column("vector").to_pylist()), np.float64).reshape(b - a, -1)
-                    keys = np.array(part.column("keys").to_pylist(), np.int64).reshape(b - a, -1)
-                    unit(part.column("band")[0].as_py(), part.column("side").to_numpy(), part.column("k").to_numpy(), part.column("w").to_numpy(), x, keys, out)
+                    unit(rows.slice(a, b - a), out)
             return out, rows.slice(starts[-1]) if not last else rows.slice(0, 0)
 
         for whole in batches:
@@ -225,15 +270,18 @@ def link(vectors: DataFrame, threshold: float = 0.95, recall: float = RECALL, id
     base = cut(vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("vector")).mapInArrow(_vectors, f"id {kind}, k long, vector binary"))
     classes = cut(base.where("k is not null").groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("w"), F.first("vector").alias("vector")))
     width, n_bands = bands(classes.count(), threshold, recall)
-    keyed = classes.select("k", "w", "vector").mapInArrow(_keys(width, n_bands), "k long, w long, vector binary, keys array<long>")
-    rows = keyed.select("k", "w", "vector", "keys", F.posexplode("keys").alias("band", "key"))
-    buckets = keyed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    found = rows.join(buckets, "key").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    single = np.float32 if dict(vectors.dtypes)[vector_col] == "array<float>" else np.float64
+    fields = "k long, w long, vector binary, signs binary, factors binary, bands binary"
+    coded = cut(classes.select("k", "w", "vector").mapInArrow(_coded(width, n_bands, single), f"{fields}, keys array<long>"))
+    own = ["k", "w", "vector", "signs", "factors", "bands"]
+    rows = coded.select(*own, F.posexplode("keys").alias("band", "key"))
+    buckets = cut(coded.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    found = rows.join(small(buckets, buckets.count()), "key").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     found = found.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "with"), F.greatest("block", "with")
     side = F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2)
-    dealt = found.select(F.xxhash64("key", low, high).alias("unit"), "band", side.cast("int").alias("side"), "k", "w", "vector", "keys").repartition("unit").sortWithinPartitions("unit")
-    got = cut(dealt.mapInArrow(_compare(threshold), "k long, other long, n long"))
+    dealt = found.select(F.xxhash64("key", low, high).alias("unit"), "band", side.cast("int").alias("side"), *own).repartition("unit").sortWithinPartitions("unit")
+    got = cut(dealt.mapInArrow(_compare(threshold, width, single), "k long, other long, n long"))
     counts = got.where("other is null").groupBy("k").agg(F.sum("n").alias("n"))
     labels = components(got.where("other is not null").select(F.col("k").alias("a"), F.col("other").alias("b")))
     named = classes.select("k", "rep", "w").join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("component", "k"))
