@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 import zlib
 
@@ -68,15 +70,45 @@ def dechunk(body: bytes) -> bytes:
     return b"".join(out)
 
 
+def gunzip(body: bytes) -> tuple[bytes, str | None]:
+    """What all gzip members hold, one after the other, and what went wrong; zeros and other bytes after the last member are passed over."""
+    out: list[bytes] = []
+    while True:
+        engine = zlib.decompressobj(31)
+        try:
+            out.append(engine.decompress(body) + engine.flush())
+        except zlib.error as e:
+            return b"".join(out) if out else body, f"gzip: {e}"
+        if not engine.eof:
+            return b"".join(out), "gzip: the data is cut off"
+        body = engine.unused_data.lstrip(b"\0")
+        if body[:2] != b"\x1f\x8b":
+            return b"".join(out), None
+
+
 def decompress(body: bytes, encoding: str | None) -> tuple[bytes, str | None]:
     """Content and what went wrong. Without a hint gzip is recognised; an empty or unknown encoding leaves the bytes."""
     if encoding == "br":
         return body, "brotli can't be decoded here"
-    if encoding == "gzip" or (encoding is None and body[:2] == b"\x1f\x8b"):
-        engine, out = zlib.decompressobj(47), []
-        try:
-            out.append(engine.decompress(body))
-            return b"".join(out), None
-        except zlib.error as e:
-            return body, f"gzip: {e}"
+    if body and (encoding == "gzip" or (encoding is None and body[:2] == b"\x1f\x8b")):
+        return gunzip(body)
     return body, None
+
+
+#: Where a payload is hashed: as it is stored, without its chunks, or without its compression too.
+HASH_STAGES = ("first", "after_dechunk_before_decompression", "after_dechunk_after_decompression")
+
+
+def decoded(body: bytes, chunked: bool, encoding: str | None, stage: str = HASH_STAGES[1]) -> tuple[bytes, str, str | None]:
+    """The content of a stored payload, the digest of the payload at the chosen stage, and what went wrong."""
+    steps, error = [body], None
+    steps.append(dechunk(body) if chunked else body)
+    content, error = decompress(steps[1], encoding)
+    steps.append(content)
+    return content, "sha1:" + base64.b32encode(hashlib.sha1(steps[HASH_STAGES.index(stage)]).digest()).decode(), error
+
+
+def chosen_digest(record_type: Column, computed: Column, declared: Column) -> Column:
+    """The digest of a record: the header's for all but responses, if it is one of the same kind; else the computed one."""
+    comparable = digest_matches(computed, declared).isNotNull()
+    return F.when((record_type != "response") & F.coalesce(comparable, F.lit(False)), declared).otherwise(F.coalesce(computed, F.when(record_type == "revisit", declared)))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import gzip
 import io
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
@@ -26,11 +26,43 @@ class WarcRecord:
         return next((v for k, v in self.headers if k.lower() == name), None)
 
 
-def plain(stream: BinaryIO) -> BinaryIO:
-    """The stream with buffered lines, or what its gzip members hold."""
+class Members(io.RawIOBase):
+    """What gzip members hold, one after the other. Damaged data ends the stream, with what is wrong in ``error``."""
+
+    def __init__(self, stream: BinaryIO):
+        self.stream, self.engine, self.fed, self.left, self.error = stream, zlib.decompressobj(31), b"", b"", None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        while not self.left and self.error is None:
+            if self.engine.eof:  # zeros may follow a member
+                self.fed = self.engine.unused_data.lstrip(b"\0") or self.fed
+                self.engine = zlib.decompressobj(31)
+            self.fed = self.fed or self.stream.read(1 << 16)
+            if not self.fed:
+                self.error = "EOFError: the archive is cut off" if self.begun else None
+                return 0
+            try:
+                self.left, self.begun = self.engine.decompress(self.fed, 1 << 20), True
+                self.fed = self.engine.unconsumed_tail
+            except zlib.error as e:
+                self.error = f"zlib.error: {e}"
+            if self.engine.eof:
+                self.begun = False
+        n = min(len(into), len(self.left))
+        into[:n], self.left = self.left[:n], self.left[n:]
+        return n
+
+    begun = False
+
+
+def plain(stream: BinaryIO) -> io.BufferedReader:
+    """The stream with buffered lines, or what its gzip members hold; a damaged one ends early, with ``raw.error`` set."""
     head = stream.read(2)
     stream.seek(0)
-    return io.BufferedReader(gzip.GzipFile(fileobj=stream) if head == b"\x1f\x8b" else stream)
+    return io.BufferedReader(Members(stream) if head == b"\x1f\x8b" else stream, 1 << 17)
 
 
 def _headers(lines: list[bytes]) -> list[tuple[str, str]]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import base64
 import glob
 import gzip
+import hashlib
 import io
 import json
 
@@ -12,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.config import DATASET, DEFAULT
-from strandline.functions import html, images
+from strandline.functions import html, images, payload
 from strandline.operators import annotate, names, records, search, summaries
 from strandline.plans.documents import documents
 from strandline.plans.enrich import enrich
@@ -55,6 +57,8 @@ def test_framing():
     cut = list(warc.records(io.BytesIO(ARCHIVE[1][:-200])))
     assert cut[0].truncated
     assert list(warc.records(io.BytesIO(b""))) == []
+    padded = warc.plain(io.BytesIO(b"".join(gzip.compress(r) + b"\0" * 3 for r in ARCHIVE)))
+    assert len(list(warc.records(padded))) == len(ARCHIVE) and padded.raw.error is None
 
 
 def test_records(spark, folder):
@@ -69,7 +73,31 @@ def test_records(spark, folder):
 def test_broken_archive(spark, tmp_path):
     (tmp_path / "x.warc.gz").write_bytes(gzip.compress(ARCHIVE[1])[:-30])
     rows = captures.read(spark, str(tmp_path)).collect()
-    assert [r.record_type for r in rows if r.record_type == "_corrupt"] == ["_corrupt"] and rows[-1].parse_error
+    assert [r.record_type for r in rows] == ["response", "_corrupt"] and rows[0].truncated and rows[-1].parse_error
+
+
+def test_archives_read_whole_and_in_pieces_are_the_same(spark, tmp_path):
+    nested = record("resource", "http://example.org/nested", "2019-08-15T01:02:06Z", b"Content-Length: 5\r\n\r\nContent-Length" * 5)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in (ARCHIVE + [nested]) * 30))
+    (tmp_path / "b.warc").write_bytes(b"".join(ARCHIVE))
+    one, two = captures.read(spark, str(tmp_path)), captures.read(spark, str(tmp_path), whole=0)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect())) and one.count() == 247
+
+
+def test_decoding_and_digests():
+    stored = b"6\r\n" + (body := gzip.compress(b"one") + gzip.compress(b"two"))[:6] + b"\r\n" + f"{len(body) - 6:x}\r\n".encode() + body[6:] + b"\r\n0\r\n\r\n"
+    digest = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    for stage, over in zip(payload.HASH_STAGES, (stored, body, b"onetwo"), strict=True):
+        assert payload.decoded(stored, True, "gzip", stage) == (b"onetwo", digest(over), None)
+    assert payload.gunzip(body + b"\0\0")[0] == b"onetwo" and payload.gunzip(body[:-12])[1] and payload.gunzip(b"no")[0] == b"no"
+
+
+def test_the_header_decides_the_digest_of_what_is_no_response(spark):
+    own, other = "sha1:" + "A" * 32, "sha1:" + "B" * 32
+    rows = [("response", own, other), ("resource", own, other), ("revisit", own, other), ("resource", own, "md5:x"), ("resource", own, None), ("revisit", None, other)]
+    df = spark.createDataFrame(rows, "t string, c string, d string")
+    got = [r.h for r in df.select(payload.chosen_digest(F.col("t"), F.col("c"), F.col("d")).alias("h")).collect()]
+    assert got == [own, other, other, own, own, other]
 
 
 def test_documents(spark, folder):
