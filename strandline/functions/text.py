@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 from strandline.functions.binding import let
 
 POSTCODE = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
-STRICT_POSTCODE = r"^(?:[A-PR-UWYZ][0-9][0-9]?|[A-PR-UWYZ][A-HK-Y][0-9][0-9]?|[A-PR-UWYZ][0-9][A-HJKPSTUW]|[A-PR-UWYZ][A-HK-Y][0-9][ABEHMNPRVWXY]) [0-9][ABD-HJLNP-UW-Z]{2}$"
+STRICT_POSTCODE = r"(?i)^(?:(?:[A-PR-UWYZ][0-9][0-9]?|[A-PR-UWYZ][A-HK-Y][0-9][0-9]?|[A-PR-UWYZ][0-9][A-HJKS-UW]|[A-PR-UWYZ][A-HK-Y][0-9][A-Z]) *[0-9][ABD-HJLNP-UW-Z]{2}|GIR *0AA)$"
 MOODS = ("Very Negative", "Negative", "Mildly Negative", "Neutral", "Mildly Positive", "Positive", "Very Positive")
 LEXICON = {"good": 3, "great": 3, "excellent": 3, "happy": 3, "love": 3, "like": 2, "nice": 3, "best": 3, "win": 4, "bad": -3, "poor": -2, "awful": -3, "sad": -2, "hate": -3, "worst": -3, "loss": -3, "fail": -2, "problem": -2, "angry": -3}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions import text as T
+from strandline.functions import trigrams
 
 
 def facet(docs: DataFrame, *names: str) -> DataFrame:
@@ -29,25 +29,17 @@ def slowest_types(docs: DataFrame, type_col: str, value: str, top: int = 20) ->
 
 
 def trigram_counts(docs: DataFrame, text_col: str, *by: str) -> DataFrame:
-    return docs.select(*by, F.explode(T.trigrams(F.col(text_col))).alias("ngram")).groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+    """(by .., ngram, n) of lower-cased texts with everything but letters as underscore."""
+    return trigrams.counts(docs, text_col, *by)
 
 
 def nearest_profile(docs: DataFrame, profiles: DataFrame, id_col: str, text_col: str, farthest: float = 1.0) -> DataFrame:
-    """(id, lang, distance): the language whose trigram frequencies are nearest, ``unknown`` beyond ``farthest``.
+    """(id, lang, distance): the language whose trigram frequencies are nearest, ``unknown`` beyond ``farthest``; texts without trigrams have no row.
 
-    The squared distance is a sum over own, theirs and shared trigrams, so only shared ones are joined.
+    Profiles are a bounded table and are broadcast, so a text is scored where it is read.
     """
-    own = trigram_counts(docs, text_col, id_col)
-    own = own.join(own.groupBy(id_col).agg(F.sum("n").alias("all")), id_col).select(id_col, "ngram", (F.col("n") / F.col("all")).alias("f"))
-    theirs = profiles.join(profiles.groupBy("lang").agg(F.sum("n").alias("all")), "lang").select("lang", "ngram", (F.col("n") / F.col("all")).alias("g"))
-    squares = own.groupBy(id_col).agg(F.sum(F.col("f") * F.col("f")).alias("a"))
-    norms = theirs.groupBy("lang").agg(F.sum(F.col("g") * F.col("g")).alias("b"))
-    shared = own.join(theirs, "ngram").groupBy(id_col, "lang").agg(F.sum(F.col("f") * F.col("g")).alias("c"))
-    every = squares.withColumn("lang", F.explode(F.array(*[F.lit(r[0]) for r in norms.select("lang").orderBy("lang").collect()])))  # a row per language
-    full = every.join(norms, "lang").join(shared, [id_col, "lang"], "left")
-    distance = F.sqrt(F.greatest(F.col("a") + F.col("b") - 2 * F.coalesce("c", F.lit(0.0)), F.lit(0.0)))
-    best = full.select(id_col, F.struct(distance.alias("d"), "lang").alias("s")).groupBy(id_col).agg(F.min("s").alias("s"))
-    return best.select(id_col, F.when(F.col("s.d") < farthest, F.col("s.lang")).otherwise("unknown").alias("lang"), F.col("s.d").alias("distance"))
+    got = docs.select(id_col, trigrams.nearest(F.col(text_col), profiles).alias("s")).where("s.lang is not null")
+    return got.select(id_col, F.when(F.col("s.distance") < farthest, F.col("s.lang")).otherwise("unknown").alias("lang"), F.col("s.distance").alias("distance"))
 
 
 def nearest_colour(pixels: DataFrame, colours: DataFrame) -> DataFrame:
@@ -58,10 +50,13 @@ def nearest_colour(pixels: DataFrame, colours: DataFrame) -> DataFrame:
     return pixels.join(F.broadcast(palette)).withColumn("colour", best["name"]).drop("palette")  # one row
 
 
-def duplicates(docs: DataFrame, digest: str, id_col: str) -> DataFrame:
-    """(id, first): the smallest id with the same digest."""
-    first = docs.groupBy(digest).agg(F.min(id_col).alias("first"))
-    return docs.select(id_col, digest).join(first, digest).select(id_col, "first")
+def duplicates(docs: DataFrame, digest: str, id_col: str, parts: int = 32) -> DataFrame:
+    """(id, first): the smallest id with the same digest. Digests meet their minimum in ``parts`` pieces each, so a common one is spread."""
+    part = F.pmod(F.xxhash64(id_col), F.lit(parts)).alias("part")
+    rows = docs.select(id_col, digest, part)
+    first = rows.groupBy(digest, "part").agg(F.min(id_col).alias("first")).groupBy(digest).agg(F.min("first").alias("first"), F.collect_set("part").alias("parts"))
+    spread = first.select(digest, "first", F.explode("parts").alias("part"))
+    return rows.join(spread, [digest, "part"]).select(id_col, "first")
 
 
 def host_edges(pages: DataFrame, host: str, hosts: str) -> DataFrame:
