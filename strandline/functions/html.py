@@ -7,15 +7,14 @@ from html.parser import HTMLParser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from strandline.functions import urls
 
 MAX_LINK = 2048
-MAX_PARSED = 8 << 20
 _NAME = re.compile(r"[a-zA-Z0-9]{1,100}")
 _TEXTS, _LISTS = ("title", "lang", "first_paragraph", "text", "canonical", "refresh"), ("links", "images", "elements", "licenses")
-FEATURES = StructType([*[StructField(n, StringType()) for n in _TEXTS], *[StructField(n, ArrayType(StringType())) for n in _LISTS]])
+FEATURES = StructType([*[StructField(n, StringType()) for n in _TEXTS], *[StructField(n, ArrayType(StringType())) for n in _LISTS], StructField("meta", MapType(StringType(), StringType()))])
 _BREAKS = {"p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "article", "section", "nav", "header", "footer", "title"}
 
 
@@ -36,6 +35,7 @@ class _Features(HTMLParser):
         self.first: str | None = None
         self.text: list[str] = []
         self.lang = self.canonical = self.refresh = None
+        self.meta: dict[str, str] = {}
         self.hidden = 0
         self.in_title = False
 
@@ -49,6 +49,8 @@ class _Features(HTMLParser):
         if tag in ("link", "meta"):
             key = "rel" if tag == "link" else "name"
             self.elements.add(f"{tag}/@{key}={a.get(key, '')}")
+        if tag == "meta" and (named := (a.get("name") or a.get("property") or "").strip().lower()) and a.get("content"):
+            self.meta.setdefault(named, a["content"])
         rel = a.get("rel", "").lower().split()
         if tag == "html" and a.get("lang"):
             self.lang = self.lang or a["lang"]
@@ -101,7 +103,7 @@ def parse(html: str, base: str | None, normalise: bool = False) -> dict:
     """The features of a page; links and images are absolute where base is a url."""
     p = _Features()
     try:
-        p.feed(html[:MAX_PARSED])
+        p.feed(html)
         p.close()
     except (AssertionError, ValueError):  # a page the parser gives up on keeps what was found
         pass
@@ -119,19 +121,29 @@ def parse(html: str, base: str | None, normalise: bool = False) -> dict:
 
     text = re.sub(r"[ \t]+", " ", re.sub(r"\s*\n\s*", "\n", "".join(p.text))).strip()
     title = "".join(p.title).strip() if p.title else None
-    return {"title": title, "lang": p.lang, "links": absolute(p.links), "images": absolute(p.images), "elements": sorted(p.elements), "licenses": p.licenses, "first_paragraph": p.first, "text": text, "canonical": p.canonical, "refresh": p.refresh}
+    return {"title": title, "lang": p.lang, "links": absolute(p.links), "images": absolute(p.images), "elements": sorted(p.elements), "licenses": p.licenses, "first_paragraph": p.first, "text": text, "canonical": p.canonical, "refresh": p.refresh, "meta": p.meta}
 
 
-@F.pandas_udf(FEATURES)
-def features(html, base):
-    """All features of a page in one pass; null html has none."""
+def _frame(html, base, normalise: bool):
     import pandas as pd
 
     names = FEATURES.names
-    rows = [parse(h, b) if h is not None else dict.fromkeys(names) for h, b in zip(html, base, strict=True)]
+    rows = [parse(h, b, normalise) if h is not None else dict.fromkeys(names) for h, b in zip(html, base, strict=True)]
     return pd.DataFrame(rows, columns=names)
 
 
+@F.pandas_udf(FEATURES)
+def features(html, base):
+    """All features of a page in one pass; null html has none."""
+    return _frame(html, base, False)
+
+
+@F.pandas_udf(FEATURES)
+def normalised_features(html, base):
+    """The same with links in their canonical form."""
+    return _frame(html, base, True)
+
+
 def native_hrefs(html: Column) -> Column:
     """href of each double-quoted anchor, by expression alone."""
     return F.regexp_extract_all(html, F.lit(r"<a [^>]*?href=\"([^\"]*)\""), F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -115,16 +116,6 @@ def domain(h: Column, suffixes: frozenset[str] = frozenset()) -> Column:
     return F.when(F.size(parts) == 0, h).when(F.element_at(parts, -1) == "uk", F.coalesce(last_labels(h, 3), h)).otherwise(F.coalesce(below, h))
 
 
-def driver_suffixes(spark) -> frozenset[str]:
-    """The exact public suffixes that ship with the JVM libraries of this Spark, read once on the driver; empty if they can't be read."""
-    try:
-        jvm = spark.sparkContext._jvm
-        exact = jvm.com.google.thirdparty.publicsuffix.PublicSuffixPatterns.EXACT
-        return frozenset(str(x) for x in exact.keySet())
-    except Exception:  # an internal table that other versions may lack
-        return frozenset()
-
-
 def canonical_ascii(url: Column) -> Column:
     """Native canonical form of urls in printable ASCII without escapes, spaces and backslashes."""
     u = F.regexp_replace(F.lower(url), r"^(https?://)[^/?#@]*@", "$1")
@@ -188,6 +179,12 @@ def resolve(base: str, link: str, normalise: bool = True) -> str | None:
     return canonicalise(out) if normalise else out
 
 
+@F.pandas_udf(StringType())
+def resolved_url(base, link):
+    """Links made absolute and canonical; null where there is none."""
+    return pd.Series([None if b is None or x is None else resolve(b, x) for b, x in zip(base, link, strict=True)], dtype=object)
+
+
 @F.pandas_udf(StringType())
 def canonical_url(url):
     return url.map(lambda u: None if u is None else canonicalise(u))

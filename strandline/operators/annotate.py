@@ -6,9 +6,10 @@ equality joins on exploded candidates, so no join compares every capture with ev
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions import text as T
 from strandline.functions import urls
 
 #: Rules that are joined by broadcasting; with more, Spark chooses.
@@ -28,7 +29,8 @@ def matches(captures: DataFrame, rules: DataFrame, id_col: str = "id") -> DataFr
     sub = rules.where(F.col("scope") == "subdomains").withColumn("level", F.explode(urls.host_levels(F.col("key")))).select("scope", "level", *own)
     host = base.select("id", urls.canonical_host(urls.host(F.col("url"))).alias("level"))
     below = host.join(_rules(sub), "level").select("id", "scope", *own)
-    source = base.join(of["source_file_matches"], F.expr("source_file rlike key")).select("id", "scope", *own)
+    names = base.select("source_file").distinct().join(of["source_file_matches"], F.expr("source_file rlike key"))  # few names, each tried once
+    source = base.join(names, "source_file").select("id", "scope", *own)
     return equal[0].union(equal[1]).union(below).union(source)
 
 
@@ -71,11 +73,16 @@ def access_terms(captures: DataFrame, prefixes: DataFrame, id_col: str = "id") -
     return captures.join(hits, id_col, "left").withColumn("access_terms", F.when(F.col("open"), "OA").otherwise("RRO")).drop("open")
 
 
-def not_excluded(captures: DataFrame, prefixes: DataFrame, id_col: str = "id") -> DataFrame:
-    """captures without those whose url, free of scheme and www, begins with a prefix of the list."""
+def excluded(captures: DataFrame, prefixes: DataFrame, id_col: str = "id") -> DataFrame:
+    """Ids of captures whose url, free of scheme and www, begins with a prefix of the list."""
     bare = lambda c: F.regexp_replace(F.lower(c), r"^(https?://)?(www\d*\.)?", "")
     keyed = captures.select(id_col, bare(F.col("url")).alias("key"))
-    return captures.join(_prefix_hits(keyed, "key", prefixes.select(bare(F.col("prefix")).alias("prefix")), id_col), id_col, "left_anti")
+    return _prefix_hits(keyed, "key", prefixes.select(bare(F.col("prefix")).alias("prefix")), id_col)
+
+
+def not_excluded(captures: DataFrame, prefixes: DataFrame, id_col: str = "id") -> DataFrame:
+    """captures without the excluded ones."""
+    return captures.join(excluded(captures, prefixes, id_col), id_col, "left_anti")
 
 
 def scope_key(scope, url):
@@ -84,12 +91,48 @@ def scope_key(scope, url):
     return F.when(scope == "resource", url).when(scope == "root", F.concat(urls.scheme(url), F.lit("://"), host)).when(scope == "subdomains", host)
 
 
-def taxonomy(terms: DataFrame, most: int = 16) -> DataFrame:
-    """(id, path) of terms (id, parent, name, published): names from the root down, joined by bars. Unpublished roots leave out their branch."""
+def taxonomy(terms: DataFrame) -> DataFrame:
+    """(id, path) of terms (id, parent, name, published): names from the root down, joined by bars. Unpublished roots leave out their branch.
+
+    A level at a time until none is left; terms that no root reaches have no path.
+    """
     live = terms.where("parent is not null or published").select("id", "parent", F.col("name").alias("path"))
     done = live.where("parent is null").select("id", "path")
     rest, level = live.where("parent is not null"), done
-    for _ in range(most):
+    while True:
         level = rest.alias("c").join(level.alias("p"), F.col("c.parent") == F.col("p.id")).select("c.id", F.concat_ws("|", "p.path", "c.path").alias("path"))
+        if level.isEmpty():
+            return done
         done = done.union(level)
-    return done
+
+
+def located(docs: DataFrame, districts: DataFrame, id_col: str = "id", districts_col: str = "postcode_district") -> DataFrame:
+    """docs with ``locations``: sorted ``lat,lon`` of their districts (district, lat, lon)."""
+    place = T.location(F.col("lat"), F.col("lon"))
+    each = docs.select(id_col, F.explode(districts_col).alias("district")).join(_rules(districts), "district")
+    found = each.groupBy(id_col).agg(F.array_sort(F.collect_set(place)).alias("locations"))
+    return docs.join(found, id_col, "left")
+
+
+def merged_dates(crawled: Column, earlier: Column) -> Column:
+    """All dates of a resource, once each and in order, from this capture's and those already known."""
+    none = F.array().cast("array<string>")
+    return F.array_sort(F.array_union(F.array(crawled), F.coalesce(earlier, none)))
+
+
+def prefix_updates(docs: DataFrame, rules: DataFrame, id_col: str = "id") -> DataFrame:
+    """(id, scope, collection, collections, subject): what the updater applies to documents that are already there.
+
+    Its rules of the scope root are prefixes of the url, unlike those at indexing; the others are as in ``matches``.
+    """
+    own = ["collection", "collections", "subject"]
+    root = rules.where("scope = 'root'")
+    lengths = sorted(r[0] for r in root.select(F.length("key")).distinct().collect() if r[0])  # at most the longest url
+    rest = matches(docs, rules.where("scope != 'root'"), id_col)
+    if not lengths:
+        return rest
+    candidate = F.explode(F.array_distinct(F.array(*[F.substring("url", 1, n) for n in lengths]))).alias("key")
+    found = docs.select(F.col(id_col).alias("id"), candidate).join(_rules(root), "key").select("id", "scope", *own)
+    return rest.union(found)
+
+

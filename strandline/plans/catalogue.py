@@ -452,7 +452,7 @@ def exif_degrees(spark, sf):
 def taxonomy_paths(spark, sf):
     regions = _t(spark, sf, "region").select((F.col("r_regionkey") + 1000).alias("id"), F.lit(None).cast("int").alias("parent"), F.col("r_name").alias("name"), (F.col("r_name") != "ASIA").alias("published"))
     nations = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), (F.col("n_regionkey") + 1000).alias("parent"), F.col("n_name").alias("name"), F.lit(True).alias("published"))
-    return annotate.taxonomy(regions.union(nations), 2).where("id < 1000").select(F.col("id").alias("n_nationkey"), "path")
+    return annotate.taxonomy(regions.union(nations)).where("id < 1000").select(F.col("id").alias("n_nationkey"), "path")
 
 
 @query("SELECT page_id, url, md5(html) AS md5 FROM pages")

@@ -157,7 +157,7 @@ def parse_large(spark: SparkSession, paths: list[str], decode: bool = True, stag
 SEPARATOR = "Content-Length"
 
 
-def read(spark: SparkSession, path: str, decode: bool = True, stage: str = P.HASH_STAGES[1], whole: int = 512 << 20) -> DataFrame:
+def read(spark: SparkSession, path: str | list[str], decode: bool = True, stage: str = P.HASH_STAGES[1], whole: int = 512 << 20) -> DataFrame:
     """Records of the archives under path. With decode, transfer and content encodings are taken off.
 
     Archives of up to ``whole`` bytes are read as one value each; larger ones, if gzipped, record by record. Plain archives,

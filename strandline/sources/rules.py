@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,18 @@ def prefixes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("prefix")).where("prefix != '' and not startswith(prefix, '#')").distinct()
 
 
+def suffix_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(rule) of a public suffix list: a rule for each line up to its first blank, without ``//`` comments."""
+    rule = F.lower(F.regexp_extract(F.trim("value"), r"^(\S+)", 1))
+    return spark.read.text(path).select(rule.alias("rule")).where("rule != '' and not startswith(rule, '//')").distinct()
+
+
+def profiles(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(lang, ngram, n) of files with lines of an n-gram and its count, one file for each language."""
+    rows = [spark.read.schema("ngram string, n long").option("sep", "\t").option("quote", "").csv(path).select(F.lit(lang).alias("lang"), "ngram", "n") for lang, path in sorted(paths.items())]
+    return reduce(DataFrame.union, rows).where("length(ngram) = 3 and n > 0")
+
+
 def districts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("district string, lat double, lon double").option("header", True).csv(path)
 
