@@ -118,6 +118,13 @@ def terms(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def path_levels(c: Column, separator: str = "/") -> Column:
+    """A path and all paths above it, the shortest first."""
+    parts = F.filter(F.split(c, separator), lambda x: x != "")
+    each = lambda p: F.transform(F.sequence(F.lit(1), F.size(p)), lambda i: F.array_join(F.slice(p, F.lit(1), i), separator))
+    return let(parts, lambda p: F.when(F.size(p) == 0, F.array().cast("array<string>")).otherwise(each(p)))
+
+
 def ngrams(c: Column, low: int = 2, high: int = 5) -> Column:
     """All substrings of low to high characters."""
     return _windows(c, low, high)

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.config import FieldRule
-from strandline.functions import dates, fields, html, payload, text, types, urls
+from strandline.functions import dates, fields, html, images, payload, text, types, urls
 from strandline.operators import annotate, names, records, search, summaries
+from strandline.operators.suffixes import suffixes
 from strandline.plans.documents import documents
-from strandline.sources import captures, sinks
-from strandline.streaming.captures import counts_by_window
+from strandline.plans.enrich import enrich
+from strandline.sources import captures, rules, sinks
+from strandline.streaming.captures import counts_by_window, stream_documents, write_stream
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -488,3 +490,232 @@ def top_hosts(spark, sf):
     u = F.col("url")
     pages = _t(spark, sf, "pages").select(urls.canonical_host(urls.host(u)).alias("host"), urls.record_id(u, F.lit("20240101000000")).alias("id"))
     return pages.groupBy("host").agg(F.count("*").alias("n"), F.max("id").alias("last_id")).orderBy(F.desc("n"), "host").limit(10)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+
+
+def _archived(spark, sf) -> DataFrame:
+    """The pages written as gzipped archives, every third body in one chunk, and read back as records."""
+    line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit("\r\n"))
+    chunked, size = F.col("page_id") % 3 == 0, F.octet_length("html")
+    body = F.when(chunked, F.concat(F.lower(F.hex(size)), F.lit("\r\n"), F.col("html"), F.lit("\r\n0\r\n"))).otherwise(F.col("html"))
+    block = F.concat(line("HTTP/1.1 ", (F.col("page_id") % 2 + 200).cast("string"), " OK"), line("Content-Type: text/html; charset=utf-8"), F.when(chunked, "Transfer-Encoding: chunked\r\n").otherwise(""), F.lit("\r\n"), body)
+    head = F.concat(line("WARC/1.0"), line("WARC-Type: response"), line("WARC-Record-ID: <urn:x:", F.col("page_id").cast("string"), ">"), line("WARC-Target-URI: <", F.col("url"), ">"), line("WARC-Date: 2024-01-01T00:00:00Z"), line("Content-Length: ", F.octet_length("block").cast("string")))
+    folder = _scratch(spark, "archives")
+    pages = _t(spark, sf, "pages").withColumn("block", block)
+    pages.select(F.concat(head, F.lit("\r\n"), F.col("block")).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
+    return captures.read(spark, folder).withColumn("page_id", F.regexp_extract(F.col("warc_headers")["WARC-Record-ID"], r"(\d+)", 1).cast("long"))
+
+
+@query("SELECT page_id, 'response' AS record_type, url, (page_id % 2 + 200)::VARCHAR AS status, 'text/html; charset=utf-8' AS served, md5(html) AS md5 FROM pages")
+def archive_records(spark, sf):
+    rows = _archived(spark, sf)
+    return rows.select("page_id", "record_type", "url", F.col("http_status").alias("status"), types.header(F.col("http_headers"), "content-type").alias("served"), F.md5("payload").alias("md5"))
+
+
+_SHA = " || ".join(f"translate(to_base(('0x' || substr(h, {1 + 10 * k}, 10))::BIGINT, 32, 8), '0123456789ABCDEFGHIJKLMNOPQRSTUV', '{payload.BASE32}')" for k in range(4))
+
+
+@query(f"SELECT page_id, 'sha1:' || {_SHA} AS hash, (page_id % 2 + 200)::INT AS status_code, '<urn:x:' || page_id || '>' AS record FROM (SELECT page_id, sha1(html) AS h FROM pages)")
+def archive_digests(spark, sf):
+    docs = documents(_archived(spark, sf))
+    return docs.select("page_id", "hash", "status_code", F.concat(F.lit("<"), F.col("warc_key_id"), F.lit(">")).alias("record"))
+
+
+@query(f"SELECT page_id FROM pages WHERE regexp_matches(lower({_PATH}), '^/?$|^/index\\.[a-z]+$') OR page_id % 5 = 0")
+def slash_pages(spark, sf):
+    pages = _t(spark, sf, "pages").withColumn("url", F.when(F.col("page_id") % 5 == 0, F.concat(F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0), F.lit("/index.html"))).otherwise(F.col("url")))
+    return documents(captures.from_pages(pages), slash_pages=True).select(F.col("offset").alias("page_id"))
+
+
+_SUFFIXES = ["com.au", "co.jp", "*.ck", "!www.ck", "com", "org"]
+_ENDS = ["com.au", "x.co.jp", "a.ck", "www.ck", "org", "unknown"]
+_ENDED = "(SELECT page_id, regexp_replace(" + _HOST + ", '\\.[a-z]+$', '.') || " + repr(_ENDS) + "[(page_id % 6)::INT + 1] AS h FROM pages)"
+_KNOWN = "[2, 2, 2, 1, 1, 1][(page_id % 6)::INT + 1]"
+_TAIL = lambda n: f"array_to_string(list_slice(string_split(h, '.'), len(string_split(h, '.')) - {n} + 1, len(string_split(h, '.'))), '.')"
+
+
+@query(f"SELECT page_id, {_TAIL(_KNOWN)} AS public_suffix, {_TAIL('(' + _KNOWN + ' + 1)')} AS domain FROM {_ENDED}")
+def suffix_domains(spark, sf):
+    end = F.element_at(F.array(*[F.lit(x) for x in _ENDS]), (F.col("page_id") % 6 + 1).cast("int"))
+    rows = _t(spark, sf, "pages").select("page_id", F.concat(F.regexp_replace(urls.host(F.col("url")), r"\.[a-z]+$", "."), end).alias("host"))
+    found = suffixes(rows, spark.createDataFrame([(x,) for x in _SUFFIXES], "rule string"))
+    return rows.join(found, "host").select("page_id", "public_suffix", "domain")
+
+
+@query(
+    f"""SELECT page_id, array_to_string(list_sort(list_distinct(h)), '|') AS hosts, array_to_string(list_sort(list_distinct(list_transform(h, lambda x: string_split(x, '.')[-1]))), '|') AS suffixes
+    FROM (SELECT page_id, list(regexp_replace(regexp_extract(link, '^[a-z]+://([^/?#]*)', 1), '^(www[0-9]*|ww2|ww)\\.', '')) AS h FROM {_LINKS} GROUP BY 1)"""
+)
+def linked_hosts(spark, sf):
+    docs = documents(captures.from_pages(_t(spark, sf, "pages"))).where(F.size("links") > 0)
+    joined = lambda c: F.array_join(F.array_sort(c), "|")
+    return docs.select(F.col("offset").alias("page_id"), joined("links_hosts").alias("hosts"), joined("links_public_suffixes").alias("suffixes"))
+
+
+@query(f"SELECT page_id, link, {_CANON.replace('url', 'link')} AS resolved FROM {_LINKS}")
+def resolved_links(spark, sf):
+    pages = _t(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1).alias("site"), F.explode(html.native_hrefs(F.col("html"))).alias("l"))
+    return pages.select("page_id", F.concat("site", "l").alias("link"), urls.resolved_url("url", "l").alias("resolved"))
+
+
+@query(f"SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'malformed.host' ELSE {_HOST} END AS host FROM pages")
+def extracted_hosts(spark, sf):
+    url = F.when(F.col("page_id") % 4 == 0, F.regexp_replace("url", "://", "://-")).otherwise(F.col("url"))
+    return _t(spark, sf, "pages").select("page_id", urls.extract_host(url).alias("host"))
+
+
+@query(
+    """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 404 WHEN 3 THEN 2001 ELSE 200 END::INT AS status,
+    CASE page_id % 4 WHEN 1 THEN 'status isn''t a number: x' WHEN 3 THEN 'status out of range: 2001' END AS error FROM pages"""
+)
+def status_errors(spark, sf):
+    m = F.col("page_id") % 4
+    value = F.when(m == 0, "404").when(m == 1, "x").when(m == 3, "2001")
+    return _t(spark, sf, "pages").select("page_id", types.status(value).alias("status"), types.status_error(value).alias("error"))
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'application/x-empty' WHEN p_partkey % 3 = 0 THEN 'text/html; v=5' WHEN p_partkey % 3 = 1 THEN 'application/pdf'
+    WHEN p_partkey % 2 = 0 THEN 'text/served' ELSE 'application/octet-stream' END AS chosen FROM part"""
+)
+def chosen_types(spark, sf):
+    k = F.col("p_partkey")
+    detected = F.when(k % 3 == 0, "text/html").when(k % 3 == 1, "application/pdf").otherwise("application/octet-stream")
+    signature = F.when(k % 3 == 0, "text/html; v=5").when(k % 3 == 1, "application/x")
+    none = F.lit(None).cast("string")
+    length = F.when(k % 7 == 0, 0).otherwise(5)
+    chosen = types.choose(detected, F.when(k % 3 == 2, "application/octet-stream").otherwise(signature), none, F.when(k % 2 == 0, "text/served"), none, length, F.lit(False))
+    return _t(spark, sf, "part").select("p_partkey", chosen.alias("chosen"))
+
+
+@query("SELECT p_partkey, (p_size * 3)::BIGINT AS height, (p_size + 7)::BIGINT AS width, (p_size * 3 * (p_size + 7))::BIGINT AS size FROM part")
+def image_sizes(spark, sf):
+    four = lambda n: F.lpad(F.hex(n), 8, "0")
+    head = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), four(F.col("p_size") + 7), four(F.col("p_size") * 3)))
+    return _t(spark, sf, "part").select("p_partkey", images.measured(head).alias("m")).select("p_partkey", "m.*")
+
+
+@query(r"SELECT doc_id, md5(ltrim(regexp_replace(regexp_replace(t, '[ \t]*\n[ \t\n]*', chr(10), 'g'), '[ \t]+', ' ', 'g'), ' ')) AS md5 FROM (SELECT doc_id, '  ' || text || chr(9) || ' ' || chr(10) || ' ' || chr(10) || 'x' AS t FROM documents)")
+def trimmed_space(spark, sf):
+    t = F.concat(F.lit("  "), F.col("text"), F.lit("\t \n \nx"))
+    return _t(spark, sf, "documents").select("doc_id", F.md5(text.trim_space(t).cast("binary")).alias("md5"))
+
+
+@query("SELECT p_partkey, array_to_string(list_sort(CASE WHEN p_size % 2 = 0 THEN [p_brand, p_type] ELSE [p_brand] END), '|') AS generator FROM part")
+def generator_names(spark, sf):
+    png = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("keyword=Software, value="), F.col("p_type")))
+    return _t(spark, sf, "part").select("p_partkey", F.array_join(F.array_sort(text.generators(F.col("p_brand"), png, F.col("p_brand"))), "|").alias("generator"))
+
+
+@query("SELECT c_custkey, c_custkey % 2 = 0 AS good FROM customer")
+def strict_postcodes(spark, sf):
+    k = F.col("c_custkey")
+    right = F.element_at(F.array(*[F.lit(x) for x in ("SW1A 1AA", "m11ae", "cr2  6XH", "GIR 0AA", "gir0aa", "DN55 1pt", "w1a 0ax")]), (k % 7 + 1).cast("int"))
+    wrong = F.element_at(F.array(*[F.lit(x) for x in ("QQ1 1AA", "SW1A 1CC", "SW1A", "1AA SW1", "SW1A-1AA")]), (k % 5 + 1).cast("int"))
+    return _t(spark, sf, "customer").select("c_custkey", text.is_postcode(F.when(k % 2 == 0, right).otherwise(wrong)).alias("good"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'unknown' ELSE year(ts)::VARCHAR END AS year, strftime(CASE WHEN event_id % 3 = 0 THEN ts ELSE ts - INTERVAL 1 DAY END, '%Y-%m-%d') AS modified FROM events")
+def years_and_changes(spark, sf):
+    year = dates.year_of(F.when(F.col("event_id") % 9 == 0, "0000-00").otherwise(F.date_format("ts", "yyyyMMddHHmmss")))
+    day = F.expr("ts - interval 1 day")
+    changed = dates.last_modified(F.expr("ts - interval 2 day"), day, F.when(F.col("event_id") % 3 == 0, F.col("ts")))
+    return _t(spark, sf, "events").select("event_id", year.alias("year"), F.date_format(changed, "yyyy-MM-dd").alias("modified"))
+
+
+@query("SELECT doc_id, array_to_string(list_sort(list_distinct([lang, source, 'x'])), '|') AS merged, array_to_string(list_sort(list_distinct([lang, 'a', 'b'])), '|') AS dates FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
+def merged_values(spark, sf):
+    docs = _t(spark, sf, "documents").where("lang is not null and source is not null")
+    merged = fields.merge(F.array("lang", "source"), F.array("source", F.lit("x")))
+    days = annotate.merged_dates(F.col("lang"), F.array(F.lit("b"), F.lit("a"), F.lit("b")))
+    return docs.select("doc_id", F.array_join(F.array_sort(merged), "|").alias("merged"), F.array_join(days, "|").alias("dates"))
+
+
+@query(
+    f"""SELECT page_id, 'root' AS scope, 'B' AS collection FROM pages WHERE starts_with(url, 'http://t') UNION ALL
+    SELECT page_id, 'root', 'E' FROM pages WHERE starts_with(url, 'https://') UNION ALL SELECT page_id, 'subdomains', 'C' FROM pages WHERE regexp_replace({_HOST}, '^(www[0-9]*|ww2|ww)\\.', '') IN ('net', 'example.net')"""
+)
+def prefix_updates(spark, sf):
+    given = [("root", "http://t", "B", ["B"], ["s"]), ("root", "https://", "E", ["E"], ["s"]), ("subdomains", "example.net", "C", ["C"], ["s"])]
+    rules_ = spark.createDataFrame(given, "scope string, key string, collection string, collections array<string>, subject array<string>")
+    pages = _t(spark, sf, "pages").select(F.col("page_id").alias("id"), "url", F.lit("f").alias("source_file"))
+    return annotate.prefix_updates(pages, rules_).select(F.col("id").alias("page_id"), "scope", "collection")
+
+
+@query("SELECT scope, key, collection, array_to_string(collections, '|') AS collections FROM (VALUES " + ", ".join(f"('{s}', '{k}', '{c}', {cs!r})" for s, k, c, cs, _ in _RULES) + ") v(scope, key, collection, collections)")
+def annotation_file(spark, sf):
+    given = spark.createDataFrame(_RULES, "scope string, key string, collection string, collections array<string>, subject array<string>")
+    ranges = spark.createDataFrame([("A", None, None)], "collection string, start timestamp, end timestamp")
+    folder = _scratch(spark, "annotations")
+    rules.write_annotations(given, ranges, folder)
+    return rules.annotations(spark, folder)[0].select("scope", "key", "collection", F.array_join("collections", "|").alias("collections"))
+
+
+@query("SELECT DISTINCT url AS prefix FROM pages WHERE page_id % 2 = 0")
+def prefix_file(spark, sf):
+    folder = _scratch(spark, "prefixes")
+    lines = _t(spark, sf, "pages").where("page_id % 2 = 0").select(F.explode(F.array(F.concat(F.lit(" "), F.col("url")), F.lit("# no"), F.lit(""))).alias("value"))
+    lines.write.text(folder)
+    return rules.prefixes(spark, folder)
+
+
+@query("SELECT doc_id, source, md5(text) AS md5 FROM documents WHERE text IS NOT NULL")
+def xml_roundtrip(spark, sf):
+    folder = _scratch(spark, "xml")
+    docs = _t(spark, sf, "documents").where("text is not null")
+    sinks.write_xml(docs.select("doc_id", "source", F.base64(F.col("text").cast("binary")).alias("body")), folder)
+    back = spark.read.schema("field array<struct<_name: string, _VALUE: string>>").option("rowTag", "doc").format("xml").load(folder)
+    value = lambda n: F.get(F.filter("field", lambda f: f["_name"] == n), F.lit(0))["_VALUE"]
+    return back.select(value("doc_id").cast("long").alias("doc_id"), value("source").alias("source"), F.md5(F.unbase64(value("body"))).alias("md5"))
+
+
+@query("SELECT doc_id::VARCHAR AS id, source, 'other' AS kind, len(string_split(lang, 'e'))::BIGINT AS n FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
+def bulk_documents(spark, sf):
+    docs = _t(spark, sf, "documents").where("lang is not null and source is not null")
+    docs = docs.select(F.col("doc_id").cast("string").alias("id"), "source", F.lit("").alias("content_type_norm"), F.split("lang", "e").alias("parts"))
+    parsed = F.from_json("body", "source array<string>, content_type_norm array<string>, parts array<string>, index_time array<string>").alias("b")
+    rows = sinks.bulk_document(docs).select("_id", parsed).where("size(b.index_time) = 1")
+    return rows.select(F.col("_id").alias("id"), F.col("b.source")[0].alias("source"), F.col("b.content_type_norm")[0].alias("kind"), F.size("b.parts").cast("long").alias("n"))
+
+
+@query("SELECT page_id, url || chr(9) || '20240101' || chr(9) || 'face-a face-b' AS line FROM pages WHERE page_id % 3 = 0")
+def face_lines(spark, sf):
+    faces = F.when(F.col("page_id") % 3 == 0, F.array(F.lit("face-b"), F.lit("hat"), F.lit("face-a"))).otherwise(F.array(F.lit("hat")))
+    return _t(spark, sf, "pages").select("page_id", sinks.face_line(faces, "face-", F.col("url"), F.lit("20240101")).alias("line")).where("line is not null")
+
+
+@query("SELECT page_id, page_id % 100 + 1 AS answer FROM pages")
+def enriched(spark, sf):
+    rows = _t(spark, sf, "pages").select("page_id", (F.col("page_id") % 100).cast("string").alias("asked"))
+    got = enrich(rows, {"asked": "number"}, {"next": "answer"}, lambda q: {"next": q["number"] + 1})
+    return got.select("page_id", F.col("answer").cast("long").alias("answer"))
+
+
+@query("SELECT c_custkey, len(n)::BIGINT AS n, list_min(n) AS low FROM (SELECT c_custkey, list_concat([substr(s, i, 2) FOR i IN range(1, length(s))], [substr(s, i, 3) FOR i IN range(1, length(s) - 1)]) AS n FROM (SELECT c_custkey, lower(c_mktsegment) AS s FROM customer))")
+def name_ngrams(spark, sf):
+    grams = _t(spark, sf, "customer").select("c_custkey", text.ngrams(F.lower("c_mktsegment"), 2, 3).alias("g"))
+    return grams.select("c_custkey", F.size("g").cast("long").alias("n"), F.array_min("g").alias("low"))
+
+
+@query(f"SELECT page_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: array_to_string(list_slice(p, 1, i), '/')), '|') AS levels FROM (SELECT page_id, list_filter(string_split({_PATH}, '/'), lambda x: x != '') AS p FROM pages)")
+def path_levels(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.array_join(text.path_levels(urls.path(F.col("url"))), "|").alias("levels"))
+
+
+@query("SELECT page_id, starts_with(t, 'text/css') OR starts_with(t, 'text/javascript') AS script FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'text/css; x' WHEN 1 THEN 'text/javascript' ELSE 'text/html' END AS t FROM pages)")
+def script_types(spark, sf):
+    m = F.col("page_id") % 3
+    t = F.when(m == 0, "text/css; x").when(m == 1, "text/javascript").otherwise("text/html")
+    return _t(spark, sf, "pages").select("page_id", types.has_script_type(t).alias("script"))
+
+
+@query(f"SELECT id, {_HOST} AS host FROM (SELECT DISTINCT '20240101000000/' || to_base64(unhex(md5(url))) AS id, url FROM pages)")
+def streamed_documents(spark, sf):
+    folder, out = _scratch(spark, "stream"), _scratch(spark, "streamed")
+    captures.from_pages(_t(spark, sf, "pages")).write.parquet(folder)
+    records_ = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    write_stream(stream_documents(records_).select("id", "host"), out, f"{out}-state").awaitTermination()
+    return spark.read.parquet(out)
