@@ -222,21 +222,38 @@ def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _open(percent: int):
-    """(unit, side, k, label) of the rows that come near one with another label, from rows (unit, side, k, label, n, bits)."""
+    """What comes near under another label, from rows (unit, side, k, label, n, bits): (unit, side, k, label, other).
+
+    Pairs (k, other), if the unit has no more of them than twice its rows; else its rows that are in any, without other.
+    """
     near = _Near(percent)
+    names = ["unit", "side", "k", "label", "other"]
 
     def compare(runs: np.ndarray, unit: np.ndarray, side: np.ndarray, k: np.ndarray, label: np.ndarray, n: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-        live = np.zeros(len(unit), bool)
+        live, first, second = np.zeros(len(unit), bool), [], []
         for a, s in zip(runs[:-1].tolist(), np.diff(runs).tolist(), strict=True):
             own = slice(a, a + s)
             if (label[own] == label[a]).all():
                 continue
             left, right = (a + x for x in _sides(side[own]))
+            some, found = [], 0
             for b in range(0, len(left), 64):
                 ok = near.rows(left[b : b + 64], right, bits, n, label) >= 0
                 live[left[b : b + 64]] |= ok.any(1)
                 live[right] |= ok.any(0)
-        yield pa.RecordBatch.from_arrays([pa.array(x[live]) for x in (unit, side, k, label)], names=["unit", "side", "k", "label"])
+                found += int(ok.sum())
+                if found <= 4 * s:
+                    some.append(np.stack([left[b : b + 64][i] if x else right[i] for x, i in zip((1, 0), np.nonzero(ok), strict=True)]))
+            pairs = np.sort(np.concatenate(some, 1), 0) if found <= 4 * s and some else None
+            if pairs is not None and (pairs := np.unique(pairs, axis=1)).shape[1] <= 2 * s:
+                live[own] = False
+                first.append(pairs[0])
+                second.append(pairs[1])
+        rows = [x[live] for x in (unit, side, k, label)]
+        yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in rows), pa.nulls(len(rows[0]), pa.int64())], names=names)
+        if first:
+            i, j = np.concatenate(first), np.concatenate(second)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (unit[i], side[i], k[i], label[i], k[j])], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _held(batches, lambda b: (*(b.column(c).to_numpy() for c in ("side", "k", "label", "n")), _bits(b)), compare)
@@ -386,10 +403,10 @@ class _Links:
         live = pairs.join(of("a", "la"), "a", "left").join(of("b", "lb"), "b", "left")
         return live.select("a", "b", "est", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la != lb")
 
-    def confirm(self, pairs: DataFrame) -> None:
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
         left = pairs.select("a", "b").join(self.sets.select(F.col("k").alias("a"), F.col("tokens").alias("x")), "a")
         both = left.join(self.sets.select(F.col("k").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-        self.add(both.mapInArrow(_confirm(self.percent), "a long, b long"))
+        return both.mapInArrow(_confirm(self.percent), "a long, b long")
 
     def add(self, found: DataFrame) -> None:
         self.links = cut(found if self.links is None else self.links.union(found))
@@ -408,15 +425,17 @@ def connect(small: DataFrame, large: DataFrame, first: DataFrame, bits: DataFram
             best = live.select("la", "est", "a", "b").union(live.select("lb", "est", "a", "b")).groupBy("la").agg(F.max(F.struct("est", "a", "b")).alias("e"))
             some = cut(best.select("e.a", "e.b").distinct())
             live = live.select("a", "b", "est").join(some, ["a", "b"], "left_anti")
-        state.confirm(some)
+        state.add(state.confirmed(some))
     if state.labels is None:
         return None
     ends = first.select(F.col("a").alias("k")).union(first.select("b")).distinct()
     rows = units(small, large, ends, state.labels).join(bits, "k").select("unit", "side", "k", "label", "n", "bits")
-    near = cut(_dealt(rows).mapInArrow(_open(percent), "unit long, side int, k long, label long"))
+    near = cut(_dealt(rows).mapInArrow(_open(percent), "unit long, side int, k long, label long, other long"))
     if near.isEmpty():
         return state.labels
-    state.add(_dealt(near.join(sets, "k").select("unit", "side", "k", "label", "tokens")).mapInArrow(_links(percent), "a long, b long"))
+    pairs = near.where("other is not null").select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b")).distinct()
+    crowds = near.where("other is null").join(sets, "k").select("unit", "side", "k", "label", "tokens")
+    state.add(state.confirmed(pairs.join(first, ["a", "b"], "left_anti")).union(_dealt(crowds).mapInArrow(_links(percent), "a long, b long")))
     return state.labels
 
 
