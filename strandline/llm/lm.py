@@ -45,8 +45,8 @@ MAX_FILTER = 192 << 20
 MAX_TABLE = 8_000_000
 #: Rows of n-grams that a task sums before it sends them on.
 HELD = 2_000_000
-#: Words that a task remembers before it begins anew.
-REMEMBERED = 1_000_000
+#: A task remembers words that occur this often, up to so many before it begins anew; the others are looked up each time.
+OFTEN, REMEMBERED = 16, 1_000_000
 BANDS, BAND = 16, 16
 START, END = np.uint64(0x5D1A3B7C9E2F4681), np.uint64(0xE4D9B8A7C6F50312)
 LOW = np.uint64(0xFFFFFFFF)
@@ -244,17 +244,22 @@ class Lexicon:
         return np.stack([plain, high, weight / np.maximum(high, 1), 1 - weight, count])
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        """For each of the distinct sorted keys, a column of the five numbers."""
+        """For each of the distinct keys, a column of the five numbers."""
+        out = np.empty((5, len(keys)))
         at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = keys[self.keys[at] != keys] if len(self.keys) else keys
+        hit = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        out[:, hit] = self.known[:, at[hit]]
+        new = keys[~hit]
         if len(new):
+            found = out[:, ~hit] = self._new(new)
+            often = found[1] >= OFTEN
             if len(self.keys) > REMEMBERED:
-                self.keys, self.known, new = self.keys[:0], self.known[:, :0], keys
-            self.keys, self.known = np.concatenate([self.keys, new]), np.concatenate([self.known, self._new(new)], 1)
-            order = np.argsort(self.keys, kind="stable")
-            self.keys, self.known = self.keys[order], self.known[:, order]
-            at = np.searchsorted(self.keys, keys)
-        return self.known[:, at]
+                self.keys, self.known = self.keys[:0], self.known[:, :0]
+            if often.any():
+                self.keys, self.known = np.concatenate([self.keys, new[often]]), np.concatenate([self.known, found[:, often]], 1)
+                order = np.argsort(self.keys, kind="stable")
+                self.keys, self.known = self.keys[order], self.known[:, order]
+        return out
 
 
 def terms(second: Lexicon, first: Lexicon, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
