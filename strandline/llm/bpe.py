@@ -32,7 +32,7 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
 #: Texts of these characters alone are split here; others by the library's own tables.
 PLAIN = regex.compile(r"[\t\n\x0b\x0c\r\x20-\x7e¡-ɏ]*")
 #: Bytes that a task's cache may take, about.
-CACHE = 24 << 20
+CACHE = 64 << 20
 #: What an entry takes beside its text and ids.
 ENTRY = 250
 
