@@ -20,14 +20,24 @@ from strandline.llm.queries import vocabulary
 MAIN_LANGUAGE = 0.5
 
 
-def _only(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in like.columns])
+#: Columns that stages look at.
+READ = ("doc_id", "text", "lang", "source")
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """docs with all columns that no stage looks at under names that no operator uses."""
+    return docs.toDF(*[c if c in READ else f"column {i}" for i, c in enumerate(docs.columns)])
+
+
+def _only(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs, by the names of ``_plain``, under their own."""
+    return df.select(*[F.col(f"`{p}`").alias(c) for p, c in zip(_plain(docs).columns, docs.columns, strict=True)])
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a known main language. Two thirds of the labelled documents train, as in op10."""
     model = language.fit(docs.where(remainder("doc_id", 3) != 1))
-    found = language.predict(docs, model)
+    found = language.predict(_plain(docs), model)
     return _only(found.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_score") >= MAIN_LANGUAGE)), docs)
 
 
@@ -43,7 +53,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target weights; a document is in as often as the mix's shards drew it, shard by shard in shuffled order."""
-    return _only(mixing.shuffled(mixing.mix(docs)), docs)
+    return _only(mixing.shuffled(mixing.mix(_plain(docs))), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
