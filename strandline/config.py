@@ -29,6 +29,7 @@ class Config:
     normalise_links: bool = False
     linked_resources: bool = False
     hash_stage: str = "after_dechunk_before_decompression"
+    xml_root: bool = False
     images: bool = False
     max_image: int = 10 << 20
     image_sampling: int = 1

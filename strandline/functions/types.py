@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Kind, label and pattern, the first that fits.
 KINDS = (
@@ -96,3 +97,24 @@ def status_error(value: Column) -> Column:
 def header(headers: Column, name: str) -> Column:
     """First value of a header in an array of (name, value), whatever its case."""
     return F.get(F.filter(headers, lambda h: F.lower(h["name"]) == name.lower()), F.lit(0))["value"]
+
+
+@F.pandas_udf(StringType())
+def root_namespace(payload):
+    """``namespace#name`` of the first element of an XML document, in lower case; null without a namespace or without XML."""
+    import io
+    from xml.etree import ElementTree
+
+    import pandas as pd
+
+    def root(data: bytes | None) -> str | None:
+        if data is None:
+            return None
+        try:
+            _, element = next(ElementTree.iterparse(io.BytesIO(data), ("start",)))
+        except (ElementTree.ParseError, StopIteration, LookupError, ValueError):
+            return None
+        namespace, closed, local = element.tag.removeprefix("{").partition("}")
+        return f"{namespace}#{local}".lower() if closed and namespace.strip() else None
+
+    return pd.Series([root(p) for p in payload], dtype=object)

@@ -59,5 +59,17 @@ def duplicates(docs: DataFrame, digest: str, id_col: str, parts: int = 32) -> Da
     return rows.join(spread, [digest, "part"]).select(id_col, "first")
 
 
+def distinct_errors(docs: DataFrame, errors: str = "parse_error", kind: str | None = None) -> DataFrame:
+    """(error, n) of the documents, of a general kind if one is named, that have parse errors."""
+    rows = docs.where(F.col("content_type_norm") == kind) if kind else docs
+    return rows.select(F.explode(errors).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
+
+
+def sampled_images(docs: DataFrame, kind: str = "content_type_norm", size: str = "image_size") -> DataFrame:
+    """One row: images, and those of them that were measured."""
+    image = F.col(kind) == "image"
+    return docs.agg(F.count_if(image).alias("images"), F.count_if(image & F.col(size).isNotNull()).alias("measured"))
+
+
 def host_edges(pages: DataFrame, host: str, hosts: str) -> DataFrame:
     return pages.select(F.col(host).alias("src"), F.explode(hosts).alias("dst"))

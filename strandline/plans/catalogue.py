@@ -459,7 +459,7 @@ def taxonomy_paths(spark, sf):
 
 @query("SELECT page_id, url, md5(html) AS md5 FROM pages")
 def jsonl_roundtrip(spark, sf):
-    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/jsonl-{uuid.uuid4().hex}"
+    folder = _scratch(spark, "jsonl")
     sinks.write_jsonl(_t(spark, sf, "pages").withColumn("source_file", F.lit("a")), folder)
     return spark.read.schema("page_id long, url string, html string").json(folder).select("page_id", "url", F.md5(F.col("html").cast("binary")).alias("md5"))
 
@@ -493,7 +493,11 @@ def top_hosts(spark, sf):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the warehouse, which the file system removes when the driver ends."""
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def _archived(spark, sf) -> DataFrame:
@@ -719,3 +723,24 @@ def streamed_documents(spark, sf):
     records_ = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
     write_stream(stream_documents(records_).select("id", "host"), out, f"{out}-state").awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'http://ns.example/' || p_size || '#root' END AS ns FROM part")
+def xml_roots(spark, sf):
+    size = F.col("p_size").cast("string")
+    named = F.concat(F.lit('<?xml version="1.0"?><!-- c --><a:Root xmlns:a="http://NS.example/'), size, F.lit('"><b/></a:Root>'))
+    body = F.when(F.col("p_size") % 3 == 0, named).when(F.col("p_size") % 3 == 1, "<root>").otherwise("no xml")
+    return _t(spark, sf, "part").select("p_partkey", types.root_namespace(body.cast("binary")).alias("ns"))
+
+
+@query("SELECT 'gzip: ' || user_id % 5 AS error, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY 1")
+def distinct_errors(spark, sf):
+    error = F.concat(F.lit("gzip: "), (F.col("user_id") % 5).cast("string"))
+    docs = _t(spark, sf, "events").select(F.when(F.col("event_id") % 2 == 0, "pdf").otherwise("html").alias("content_type_norm"), F.array(error).alias("parse_error"))
+    return summaries.distinct_errors(docs, kind="pdf")
+
+
+@query("SELECT count(*) FILTER (p_size % 2 = 0) AS images, count(*) FILTER (p_size % 4 = 0) AS measured FROM part")
+def sampled_images(spark, sf):
+    size = F.when(F.col("p_size") % 4 == 0, 5)
+    return summaries.sampled_images(_t(spark, sf, "part").select(F.when(F.col("p_size") % 2 == 0, "image").otherwise("html").alias("content_type_norm"), size.alias("image_size")))

@@ -29,8 +29,21 @@ class Tables:
     districts: DataFrame | None = None
 
 
-#: Analysers that users add: (applies, columns). Each gets the frame and returns it with more columns.
-Analyser = Callable[[DataFrame, Config], DataFrame]
+@dataclass(frozen=True)
+class Analyser:
+    """New columns from the frame, by name, for documents of some general kinds (all if none is named), if the settings ask for it."""
+
+    columns: Callable[[Config], dict[str, Column]]
+    kinds: tuple[str, ...] = ()
+    enabled: Callable[[Config], bool] = lambda config: True
+
+    def apply(self, docs: DataFrame, config: Config) -> DataFrame:
+        if not self.enabled(config):
+            return docs
+        fits = F.col("content_type_norm").isin(*self.kinds) if self.kinds else F.lit(True)
+        return docs.withColumns({name: F.when(fits, c) for name, c in self.columns(config).items()})
+
+
 _ANALYSERS: list[Analyser] = []
 
 
@@ -114,6 +127,8 @@ def analyse(captures: DataFrame, config: Config = DEFAULT) -> DataFrame:
         some = (F.col("content_type_norm") == "image") & ~revisit & records.image_gate(F.coalesce(length, F.lit(0)), config.max_image, F.col("id"), config.image_sampling)
         size = images.measured(F.when(some, body))
         out = out.withColumn("_image", size).withColumns({"image_height": F.col("_image.height"), "image_width": F.col("_image.width"), "image_size": F.col("_image.size")}).drop("_image")
+    if config.xml_root:
+        out = out.withColumn("xml_root_ns", types.root_namespace(F.when(types.bare(F.col("content_type_full")).rlike("xml$") & ~revisit, body)))
     out = out.withColumn("links_hosts", html.link_hosts(F.col("links")))
     return out.withColumns({"links_hosts_surts": html.link_surts(F.col("links_hosts")), "links_domains": html.link_domains(F.col("links_hosts")), "links_public_suffixes": html.link_suffixes(F.col("links_hosts"))})
 
@@ -173,6 +188,6 @@ def documents(captures: DataFrame, config: Config = DEFAULT, slash_pages: bool =
         out = out.join(annotate.excluded(out, tables.exclusions), "id", "left_anti")
     out = describe(analyse(out, config), config, tables.profiles)
     for analyser in _ANALYSERS:
-        out = analyser(out, config)
+        out = analyser.apply(out, config)
     out = annotated(out.drop("payload", "_html", "warc_headers", "http_headers"), tables)
     return out.drop("_ts", "payload_digest")

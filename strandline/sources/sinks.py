@@ -112,6 +112,53 @@ def bulk_sender(post: Callable[[str], object], index: str, retries: int = 20) ->
     return send
 
 
+def http_post(urls: list[str], content_type: str, timeout: float = 60) -> Callable[[str], bytes]:
+    """A ``post`` to one of several servers of an index, one after the other; an answer that is an error raises an OS error."""
+    import itertools
+    import urllib.request
+
+    turn = itertools.cycle(urls)
+
+    def post(body: str) -> bytes:
+        request = urllib.request.Request(next(turn), body.encode(), {"Content-Type": content_type}, method="POST")  # noqa: S310  the caller's own servers
+        with urllib.request.urlopen(request, timeout=timeout) as answer:  # noqa: S310
+            return answer.read()
+
+    return post
+
+
+def index_sender(servers: list[str], retries: int = 20) -> Callable[[list[dict]], None]:
+    """A ``send`` of (_id, body) documents to the bulk interface of ``http://host:port/index`` servers; a batch with a refused document is an error."""
+    import json
+
+    ends = [endpoint(u) for u in servers]
+
+    def post(lines: str) -> None:
+        answer = json.loads(http_post([f"{e.scheme}://{e.host}:{e.port}/_bulk" for e in ends], "application/x-ndjson")(lines))
+        if answer.get("errors"):
+            raise OSError(f"refused: {answer}"[:500])
+
+    return bulk_sender(post, ends[0].index, retries)
+
+
+def update_sender(servers: list[str], commit_within: int = 60_000, retries: int = 20) -> Callable[[list[dict]], None]:
+    """A ``send`` of documents, as JSON, to the update interface of ``http://host:port/collection`` servers; nulls are left out."""
+    import json
+
+    def send(batch: list[dict]) -> None:
+        lines = json.dumps([{k: v for k, v in d.items() if v is not None} for d in batch], default=str)
+        post = http_post([f"{u.rstrip('/')}/update?commitWithin={commit_within}" for u in servers], "application/json")
+        for left in range(retries, -1, -1):
+            try:
+                post(lines)
+                return
+            except OSError:
+                if not left:
+                    raise
+
+    return send
+
+
 @dataclass(frozen=True)
 class Endpoint:
     scheme: str

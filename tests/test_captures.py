@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strandline.config import DATASET, DEFAULT
 from strandline.functions import html, images, payload
 from strandline.operators import annotate, names, records, search, summaries
+from strandline.plans import documents as plans
 from strandline.plans.documents import documents
 from strandline.plans.enrich import enrich
 from strandline.sources import captures, rules, sinks, warc
@@ -198,6 +199,45 @@ def test_bulk_retries():
     assert sent == ['{"index": {"_index": "i", "_id": "1"}}\n{}\n']
 
 
+def test_servers(spark):
+    import http.server
+    import threading
+
+    got, refuse = [], [True]
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"])).decode()
+            got.append((self.path, self.headers["Content-Type"], body))
+            self.send_response(500 if self.path.startswith("/c") and refuse.pop() else 200) if refuse else self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b'{"errors": false}')
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    sinks.update_sender([f"{base}/c"])([{"id": "1", "v": ["a"], "w": None}])
+    assert [g[0] for g in got] == ["/c/update?commitWithin=60000"] * 2 and json.loads(got[1][2]) == [{"id": "1", "v": ["a"]}]
+    sinks.index_sender([f"{base}/i"])([{"_id": "1", "body": "{}"}])
+    assert got[-1] == ("/_bulk", "application/x-ndjson", '{"index": {"_index": "i", "_id": "1"}}\n{}\n')
+    server.shutdown()
+
+
+def test_analysers_have_gates(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/", "<html><p>x</p></html>")], "page_id long, url string, html string")
+    own = plans.register(plans.Analyser(lambda c: {"shout": F.upper("title"), "n": F.lit(c.n_first_bytes)}, ("html",), lambda c: c.first_bytes))
+    other = plans.register(plans.Analyser(lambda c: {"never": F.lit(1)}, ("pdf",)))
+    try:
+        row = documents(captures.from_pages(pages), DATASET).first()
+        assert row.n == 32 and row.never is None and "shout" not in documents(captures.from_pages(pages)).columns
+    finally:
+        plans._ANALYSERS.remove(own)
+        plans._ANALYSERS.remove(other)
+
+
 def test_search(spark):
     docs = spark.createDataFrame([(1, "The Cat sat", "en"), (2, "the dog", "en"), (3, None, "de")], "id int, text string, lang string")
     ids = lambda q: [r.id for r in search.search(docs, q).orderBy("id").collect()]
