@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,20 @@ def prefixes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("prefix")).where("prefix != '' and not startswith(prefix, '#')").distinct()
 
 
+class Reloaded:
+    """A rule table that is read again when it is asked for after so many seconds, for the batches of a stream."""
+
+    def __init__(self, read: Callable[[], DataFrame], seconds: float, clock: Callable[[], float] = time.monotonic):
+        self.read, self.seconds, self.clock = read, seconds, clock
+        self.at, self.table = None, None
+
+    def get(self) -> DataFrame:
+        now = self.clock()
+        if self.at is None or now - self.at >= self.seconds:
+            self.at, self.table = now, self.read()
+        return self.table
+
+
 def suffix_rules(spark: SparkSession, path: str) -> DataFrame:
     """(rule) of a public suffix list: a rule for each line up to its first blank, without ``//`` comments."""
     rule = F.lower(F.regexp_extract(F.trim("value"), r"^(\S+)", 1))

@@ -255,6 +255,18 @@ def test_enrichment(spark):
     docs = spark.createDataFrame([("1", "5"), ("2", None)], "id string, n string")
     got = enrich(docs, {"n": "number"}, {"answer": "found"}, lambda q: {"answer": q["number"] + 1} if q["number"] else None)
     assert {r.id: r.found for r in got.collect()} == {"1": "6", "2": None}
+    batch = enrich(docs.withColumn("found", F.lit("old")), {"n": "number"}, {"answer": "found"}, many=lambda qs: [{"answer": q["number"] + 1} if q["number"] else None for q in qs], at_once=1)
+    assert {r.id: r.found for r in batch.collect()} == {"1": "6", "2": "old"}
+    with pytest.raises(ValueError):
+        enrich(docs, {}, {})
+
+
+def test_rules_are_read_again():
+    now, reads = [0.0], []
+    own = rules.Reloaded(lambda: reads.append(1) or len(reads), 60, lambda: now[0])
+    assert [own.get(), own.get()] == [1, 1]
+    now[0] = 60
+    assert own.get() == 2
 
 
 def test_streams(spark, folder, tmp_path):
