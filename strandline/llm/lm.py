@@ -25,7 +25,7 @@ A null text is empty and has the end mark alone. Repeated rows have equal scores
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
 
@@ -159,15 +159,17 @@ def fill(keys: np.ndarray, counts: np.ndarray, base: float) -> np.ndarray:
 class Filter:
     """Filters of the shards whose number leaves ``part`` when divided by ``parts``, side by side."""
 
-    def __init__(self, shard_bits: int, base: float, shards: dict[int, bytes], part: int = 0, parts: int = 1):
+    def __init__(self, shard_bits: int, base: float, sizes: dict[int, int], rows: Iterable[tuple[int, bytes]], part: int = 0, parts: int = 1):
+        """sizes: bytes of each shard; rows: the shards, which are copied one by one."""
         self.shard_bits, self.base, self.part, self.parts = shard_bits, base, part, parts
-        self.bits = np.empty(sum(map(len, shards.values())), np.uint8)
+        self.bits = np.empty(sum(sizes.values()), np.uint8)
         self.start, self.size = np.zeros(1 << shard_bits, np.int64), np.zeros(1 << shard_bits, np.uint64)
         at = 0
-        for s, b in shards.items():
-            self.bits[at : at + len(b)] = np.frombuffer(b, np.uint8)
-            self.start[s], self.size[s] = at, len(b) * 8
-            at += len(b)
+        for s, n in sizes.items():
+            self.start[s], self.size[s] = at, n * 8
+            at += n
+        for s, b in rows:
+            self.bits[self.start[s] : self.start[s] + sizes[s]] = np.frombuffer(b, np.uint8)
 
     def _shard(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - self.shard_bits)).astype(np.int64)
@@ -371,8 +373,9 @@ class Trained:
     def filter(self, order: int, part: int):
         """The broadcast filter of a part; up to max_filter bytes pass through the driver."""
         parts = self.parts[order]
-        rows = self.reduced.where((F.col("ord") == order) & (F.col("shard") % parts == part)).select("shard", "bits")
-        own = Filter(self.bits, BASES[order], {r["shard"]: bytes(r["bits"]) for r in rows.toLocalIterator()}, part, parts)
+        rows = self.reduced.where((F.col("ord") == order) & (F.col("shard") % parts == part))
+        sizes = {r["shard"]: r["n"] for r in rows.select("shard", F.length("bits").alias("n")).collect()}  # two numbers a shard
+        own = Filter(self.bits, BASES[order], sizes, ((r["shard"], r["bits"]) for r in rows.select("shard", "bits").toLocalIterator()), part, parts)
         return self.reduced.sparkSession.sparkContext.broadcast(own)
 
     def table(self, part: int):

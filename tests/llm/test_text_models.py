@@ -118,7 +118,8 @@ def test_filter_reads_counts_back():
     rng = np.random.default_rng(5)
     keys = np.unique(rng.integers(0, 1 << 63, 20_000).astype(np.uint64))
     counts = np.maximum(1, rng.pareto(0.7, len(keys)) * 3).astype(np.int64)
-    f = lm.Filter(1, 1.2, {s: lm.fill(keys[(keys >> np.uint64(63)) == s], counts[(keys >> np.uint64(63)) == s], 1.2).tobytes() for s in (0, 1)})
+    shards = {s: lm.fill(keys[(keys >> np.uint64(63)) == s], counts[(keys >> np.uint64(63)) == s], 1.2).tobytes() for s in (0, 1)}
+    f = lm.Filter(1, 1.2, {s: len(b) for s, b in shards.items()}, shards.items())
     level = f.level(keys)
     assert (level >= lm.levels(counts, 1.2)).all() and (level == lm.levels(counts, 1.2)).mean() > 0.95
     assert (f.level(rng.integers(0, 1 << 63, 20_000).astype(np.uint64)) == 0).mean() > 0.95
