@@ -13,10 +13,10 @@ The weight m is one for each band of c(v), C / (C + T) with the band's tokens C
 Bell), summed over the distinct pairs of all shards. The text's score is the sum of log10 P over its words and the end mark;
 the first word follows a start mark.
 
-Filters that would pass ``MAX_FILTER`` bytes are broadcast in parts, one after the other, each removed before the next: a pass
-over the texts for each part of the pairs, and for each two parts of the words if these need more than one. Each pass
-scores the tokens whose filters it has, so their sum is the same however many there are. The exact word counts
-behind the base score are broadcast up to ``MAX_TABLE`` words and joined by a shuffle beyond that.
+The filters and the exact word counts behind the base score are broadcast while each takes ``MAX_FILTER`` bytes at most.
+Beyond, the probes travel instead of the filters: a task sends the distinct words and pairs of some texts to the
+shards that hold their filters, these answer with levels, and the answers meet the texts' tokens, which wait in the shared folder.
+So the work is in proportion to the texts whatever the corpus, and scores are the same either way.
 
 A null text is empty and has the end mark alone. Repeated rows have equal scores. Without training rows every count is
 0. An empty table gives an empty result. Other columns are ignored. Pairs and words are told apart by 64 bits of hash.
@@ -25,16 +25,19 @@ A null text is empty and has the end mark alone. Repeated rows have equal scores
 from __future__ import annotations
 
 import math
+import os
+import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._common import cut
+from strandline.llm._common import cut, written
 from strandline.llm._tokens import mix, pieces, release, word_hashes
 
 BASES = {1: 1.1, 2: 1.25}
@@ -42,7 +45,8 @@ BITS, HASHES = 8, 5
 #: Most bits of a shard's number.
 SHARD_BITS = 20
 MAX_FILTER = 192 << 20
-MAX_TABLE = 8_000_000
+#: Tokens of a group of texts whose probes travel together.
+GROUP = 1_000_000
 #: Rows of n-grams that a task sums before it sends them on.
 HELD = 2_000_000
 #: A task remembers words that occur this often, up to so many before it begins anew; the others are looked up each time.
@@ -157,11 +161,11 @@ def fill(keys: np.ndarray, counts: np.ndarray, base: float) -> np.ndarray:
 
 
 class Filter:
-    """Filters of the shards whose number leaves ``part`` when divided by ``parts``, side by side."""
+    """Filters of some shards, side by side."""
 
-    def __init__(self, shard_bits: int, base: float, sizes: dict[int, int], rows: Iterable[tuple[int, bytes]], part: int = 0, parts: int = 1):
+    def __init__(self, shard_bits: int, base: float, sizes: dict[int, int], rows: Iterable[tuple[int, bytes]]):
         """sizes: bytes of each shard; rows: the shards, which are copied one by one."""
-        self.shard_bits, self.base, self.part, self.parts = shard_bits, base, part, parts
+        self.shard_bits, self.base = shard_bits, base
         self.bits = np.empty(sum(sizes.values()), np.uint8)
         self.start, self.size = np.zeros(1 << shard_bits, np.int64), np.zeros(1 << shard_bits, np.uint64)
         at = 0
@@ -174,10 +178,6 @@ class Filter:
     def _shard(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - self.shard_bits)).astype(np.int64)
 
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        """Whether the keys' shards are among these."""
-        return self._shard(keys) % self.parts == self.part if self.parts > 1 else np.ones(len(keys), bool)
-
     def level(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         shard = self._shard(keys)
@@ -225,25 +225,44 @@ class Model:
     weights: np.ndarray
 
 
+def numbers(model: Model, keys: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Of each word: P(w), the most its count can be, m / high(v) and 1 - m."""
+    level = level.copy()
+    level[keys == START] = levels(np.array([model.n_docs]), BASES[1])[0] if model.n_docs else 0
+    low, high = (x[level] for x in bounds(BASES[1]))
+    high[keys == START] = model.n_docs
+    weight = np.where(level > 0, model.weights[np.minimum(level // BAND, BANDS - 1)], 0.0)
+    plain = (np.where(keys == START, 0, low) + 1) / (model.n_tokens + model.n_words + 1)
+    return np.stack([plain, high, weight / np.maximum(high, 1), 1 - weight])
+
+
+def known(words: np.ndarray, t: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs can occur: those of words that do; t and b are the places of a pair's words."""
+    return np.minimum(words[1][t], words[1][b])
+
+
+def log10(words: np.ndarray, t: np.ndarray, b: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """log10 P of each pair's second word."""
+    both = np.minimum(bounds(BASES[2])[0][level], known(words, t, b))
+    return np.log10(words[2][b] * both + words[3][b] * words[0][t])
+
+
+def counts_of(keys: np.ndarray, exact: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    if not len(exact[0]):
+        return np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(exact[0], keys), len(exact[0]) - 1)
+    return np.where(exact[0][at] == keys, exact[1][at], 0).astype(np.int64)
+
+
 class Lexicon:
-    """What a task knows of words: P(w), the most its count can be, m / high(v), 1 - m, and its exact count."""
+    """What a task knows of words from the broadcast filter: their ``numbers`` and exact counts."""
 
-    def __init__(self, model: Model, words: Filter, exact: tuple[np.ndarray, np.ndarray] | None):
+    def __init__(self, model: Model, words: Filter, exact: tuple[np.ndarray, np.ndarray]):
         self.model, self.words, self.exact = model, words, exact
         self.keys, self.known = np.zeros(0, np.uint64), np.zeros((5, 0))
 
     def _new(self, keys: np.ndarray) -> np.ndarray:
-        m, level = self.model, self.words.level(keys)
-        level[keys == START] = levels(np.array([m.n_docs]), self.words.base)[0] if m.n_docs else 0
-        low, high = (x[level] for x in bounds(self.words.base))
-        high[keys == START] = m.n_docs
-        weight = np.where(level > 0, m.weights[np.minimum(level // BAND, BANDS - 1)], 0.0)
-        plain = (np.where(keys == START, 0, low) + 1) / (m.n_tokens + m.n_words + 1)
-        count = np.zeros(len(keys))
-        if self.exact is not None and len(self.exact[0]):
-            at = np.minimum(np.searchsorted(self.exact[0], keys), len(self.exact[0]) - 1)
-            count = np.where(self.exact[0][at] == keys, self.exact[1][at], 0)
-        return np.stack([plain, high, weight / np.maximum(high, 1), 1 - weight, count])
+        return np.concatenate([numbers(self.model, keys, self.words.level(keys)), counts_of(keys, self.exact)[None, :]])
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         """For each of the distinct keys, a column of the five numbers."""
@@ -264,91 +283,176 @@ class Lexicon:
         return out
 
 
-def terms(second: Lexicon, first: Lexicon, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 P of each token, 0 where another pass has its filters; and the tokens' exact counts."""
+def distinct(before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The words in order; the distinct pairs' keys in order and the places of their second and first words; which of the pairs each token's is."""
     words, back = np.unique(np.concatenate([token, before]), return_inverse=True)
-    t, b = back[: len(token)], back[len(token) :]
-    plain, high, *_, count = second.of(words)
-    _, high_b, ratio, rest, _ = first.of(words) if first is not second else second.of(words)
-    key, where, back = np.unique(pair_keys(before, token), return_index=True, return_inverse=True)
-    most = np.minimum(high[t[where]], high_b[b[where]])
-    seen = np.flatnonzero(most)  # a pair of words that aren't there isn't there either
-    both = np.zeros(len(key))
-    both[seen] = np.minimum(bounds(pairs.base)[0][pairs.level(key[seen])], most[seen])
-    out = np.log10(ratio[b[where]] * both + rest[b[where]] * plain[t[where]])
-    own = pairs.has(key)
-    if first is not second or second.words.parts > 1:
-        own &= second.words.has(token[where]) & first.words.has(before[where])
-    return np.where(own, out, 0.0)[back], count[t]
-
-
-def _befores(table, n_docs: int):
-    """(band, tokens, pairs): what the distinct pairs' words before add up to, of those in table; n_docs start marks if it has them too."""
+    key, where, pair = np.unique(pair_keys(before, token), return_index=True, return_inverse=True)
+    return words, key, back[: len(token)][where], back[len(token) :][where], pair
+
+
+def terms(lexicon: Lexicon, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 P of each token, and the tokens' exact counts."""
+    words, key, t, b, pair = distinct(before, token)
+    own = lexicon.of(words)
+    level = np.zeros(len(key), np.int64)
+    seen = np.flatnonzero(known(own, t, b))
+    level[seen] = pairs.level(key[seen])
+    return log10(own, t, b, level)[pair], own[4][t][pair]
+
+
+def _sums(keys: np.ndarray, counts: np.ndarray, before: np.ndarray, total: np.ndarray, pairs: np.ndarray, n_docs: int) -> np.ndarray:
+    """Tokens and distinct pairs by band, of words before (32 bits of them) among the words keys or, n_docs times, the start mark."""
+    at = np.minimum(np.searchsorted(keys, before << np.uint64(32)), max(len(keys) - 1, 0))
+    n = np.where((keys[at] >> np.uint64(32)) == before, counts[at], 0).astype(np.int64) if len(keys) else np.zeros(len(before), np.int64)
+    n[before == START >> np.uint64(32)] = n_docs
+    at = np.flatnonzero(n)
+    band = np.minimum(levels(n[at], BASES[1]) // BAND, BANDS - 1)
+    return np.stack([np.bincount(band, x[at], BANDS) for x in (total, pairs)], 1).astype(np.int64)
+
+
+def _column(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+BEFORES = pa.schema([("g", pa.int32()), ("keys", pa.binary()), ("totals", pa.binary()), ("pairs", pa.binary())])
+
+
+def _regrouped(bits: int):
+    """Rows of the pairs' shards, dealt by the first bits of the word before, as the words' shards are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = table.value
-        sums = np.zeros((BANDS, 2), np.int64)
-        start = START >> np.uint64(32)
         for batch in batches:
             for k, c, p in zip(batch.column("keys"), batch.column("counts"), batch.column("pairs"), strict=True):
-                own, total, pairs = np.frombuffer(k.as_buffer(), np.uint32).astype(np.uint64), np.frombuffer(c.as_buffer(), np.int64), np.frombuffer(p.as_buffer(), np.uint32)
-                at = np.minimum(np.searchsorted(keys, own << np.uint64(32)), max(len(keys) - 1, 0))
-                found = (keys[at] >> np.uint64(32)) == own if len(keys) else np.zeros(len(own), bool)
-                n = np.where(found, counts[at], 0).astype(np.int64) if len(keys) else np.zeros(len(own), np.int64)
-                if n_docs:
-                    n[own == start] = n_docs
-                at = np.flatnonzero(n)
-                band = np.minimum(levels(n[at], BASES[1]) // BAND, BANDS - 1)
-                np.add.at(sums, (band, 0), total[at])
-                np.add.at(sums, (band, 1), pairs[at].astype(np.int64))
-        yield _rows([(b, int(sums[b, 0]), int(sums[b, 1])) for b in range(BANDS)], pa.schema([("band", pa.int32()), ("c", pa.int64()), ("t", pa.int64())]))
+                columns = np.frombuffer(k.as_buffer(), np.uint32), np.frombuffer(c.as_buffer(), np.int64), np.frombuffer(p.as_buffer(), np.uint32)
+                ends = np.searchsorted(columns[0].astype(np.uint64) >> np.uint64(32 - bits), np.arange((1 << bits) + 1))
+                rows = [(g, *(x[a:b].tobytes() for x in columns)) for g, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
+                if rows:
+                    yield _rows(rows, BEFORES)
+
+    return run
+
+
+def _fitted(n_docs: int):
+    schema = pa.schema([("band", pa.int32()), ("c", pa.int64()), ("t", pa.int64())])
+
+    def run(befores: pa.Table, words: pa.Table) -> pa.Table:
+        order = np.argsort(words.column("shard").to_numpy(), kind="stable")
+        words = words.take(pa.array(order))
+        sums = _sums(_column(words, "keys", np.uint64), _column(words, "counts", np.int64), _column(befores, "keys", np.uint32).astype(np.uint64), _column(befores, "totals", np.int64), _column(befores, "pairs", np.uint32), n_docs)
+        return pa.Table.from_batches([_rows([(b, int(c), int(t)) for b, (c, t) in enumerate(sums)], schema)])
 
     return run
 
 
-def _score(model: Model, second, first, pairs, table):
+SCORED = ["n_tokens", "score", "n_known", "base_score"]
+
+
+def _sums_of_texts(model: Model, at: np.ndarray, logs: np.ndarray, c: np.ndarray) -> list[pa.Array]:
+    """The columns SCORED of texts whose tokens begin at ``at``."""
+    base = np.log10((c + 1) / (model.n_tokens + model.n_words + 1))
+    by = lambda x: pa.array(np.add.reduceat(x, at[:-1]))
+    return [pa.array(np.diff(at)), by(logs), by((c > 0).astype(np.int64)), by(base)]
+
+
+def _score(model: Model, words, pairs, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exact = table.value if table is not None else None
-        one = Lexicon(model, second.value, exact)
-        other = Lexicon(model, first.value, None) if first is not second else one
+        lexicon = Lexicon(model, words.value, table.value)
         for batch in batches:
-            n, known, base, score = [], [], [], []
-            for _, _, data, offsets in pieces(batch.column("text")):
+            for first, end, data, offsets in pieces(batch.column("text")):
                 token, before, at = tokens(data, offsets)
-                logs, c = terms(one, other, pairs.value, before, token)
-                n.append(np.diff(at))
-                score.append(np.add.reduceat(logs, at[:-1]))
-                known.append(np.add.reduceat((c > 0).astype(np.int64), at[:-1]))
-                base.append(np.add.reduceat(np.log10((c + 1) / (model.n_tokens + model.n_words + 1)), at[:-1]))
-            if n:
-                arrays = [*(batch.column(c) for c in ("id", "h", "g")), *(pa.array(np.concatenate(x)) for x in (n, score, known, base))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "h", "g", "n_tokens", "score", "n_known", "base_score"])
+                columns = _sums_of_texts(model, at, *terms(lexicon, pairs.value, before, token))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, end - first), *columns], names=["id", *SCORED])
         release()
 
     return run
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, g, word, times) for each distinct token of a text."""
-    for batch in batches:
-        for row, _, data, offsets in pieces(batch.column("text")):
-            token, _, at = tokens(data, offsets)
-            for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-                word, times = np.unique(token[a:b], return_counts=True)
-                hashes = [pa.array(np.full(len(word), batch.column(c)[row + i].as_py())) for c in ("h", "g")]
-                yield pa.RecordBatch.from_arrays([*hashes, pa.array(word.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "g", "word", "times"])
+PROBES = "src long, ord int, shard int, place int, keys binary, state binary"
+
+
+def _probes(bits: int):
+    """For groups of texts, by a random number each: their ids (ord 0), the distinct words and pairs by shard (1 and 2), and what awaits their levels (3)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(ids: pa.Array, src: int, order: int, shard: list[int], place: list[int], keys: list, state: list) -> pa.RecordBatch:
+            n = len(shard)
+            columns = [ids, pa.array([src] * n, pa.int64()), pa.array([order] * n, pa.int32()), pa.array(shard, pa.int32()), pa.array(place, pa.int32()), pa.array(keys, pa.binary()), pa.array(state, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["id", "src", "ord", "shard", "place", "keys", "state"])
+
+        def group(ids: list[pa.Array], parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            src = int.from_bytes(os.urandom(8), "little", signed=True)
+            token, before = (np.concatenate(x) for x in zip(*[p[:2] for p in parts], strict=True))
+            at = np.cumsum(np.concatenate([[0], *[np.diff(p[2]) for p in parts]]))
+            words, key, t, b, pair = distinct(before, token)
+            n = len(at) - 1
+            yield rows(pa.concat_arrays(ids), src, 0, [0] * n, list(range(n)), [None] * n, [None] * n)
+            for order, keys in ((1, words), (2, key)):
+                shard = (keys >> np.uint64(64 - bits)).astype(np.int64)
+                ends = np.searchsorted(shard, np.arange((1 << bits) + 1))
+                full = [(s, keys[x:y].tobytes()) for s, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if y > x]
+                for i in range(0, len(full), 4096):
+                    shards, blobs = (list(x) for x in zip(*full[i : i + 4096], strict=True))
+                    yield rows(pa.nulls(len(shards), kind), src, order, shards, [0] * len(shards), blobs, [None] * len(shards))
+            state = pickle.dumps((words, *(x.astype(np.uint32) for x in (t, b, pair)), at))
+            yield rows(pa.nulls(1, kind), src, 3, [0], [0], [None], [state])
+
+        ids, parts, size, kind = [], [], 0, None
+        for batch in batches:
+            kind = batch.column("id").type
+            for first, end, data, offsets in pieces(batch.column("text")):
+                ids.append(batch.column("id").slice(first, end - first))
+                parts.append(tokens(data, offsets))
+                size += len(parts[-1][0])
+                if size > GROUP:
+                    yield from group(ids, parts)
+                    ids, parts, size = [], [], 0
+        if parts:
+            yield from group(ids, parts)
+
+    return run
+
+
+def _answers(bits: int):
+    """Levels, and of words the exact counts, for the probes that have come to a shard."""
+
+    def run(probes: pa.Table, shards: pa.Table) -> pa.Table:
+        rows = []
+        if probes.num_rows:
+            order, shard = probes.column("ord")[0].as_py(), probes.column("shard")[0].as_py()
+            blobs = [shards.column("bits")[0].as_py()] if shards.num_rows else []
+            own = Filter(bits, BASES[order], {shard: len(b) for b in blobs}, ((shard, b) for b in blobs))
+            exact = (_column(shards, "keys", np.uint64), _column(shards, "counts", np.int64)) if order == 1 else None
+            for src, k in zip(probes.column("src").to_pylist(), probes.column("keys"), strict=True):
+                keys = np.frombuffer(k.as_buffer(), np.uint64)
+                rows.append((src, order, shard, own.level(keys).astype(np.uint8).tobytes(), counts_of(keys, exact).tobytes() if exact else None))
+        kinds = {"src": pa.int64(), "ord": pa.int32(), "shard": pa.int32(), "levels": pa.binary(), "counts": pa.binary()}
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
 
+    return run
 
-def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k, c in zip(batch.column("keys"), batch.column("counts"), strict=True):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k.as_buffer(), np.int64)), pa.array(np.frombuffer(c.as_buffer(), np.int64))], names=["word", "c"])
+
+def _joined(model: Model):
+    """The scores of a group's texts by place, from what awaited the levels and these."""
+
+    def run(state: pa.Table, answers: pa.Table) -> pa.Table:
+        words, t, b, pair, at = pickle.loads(state.column("state")[0].as_py())
+        order = pc.sort_indices(answers, [("ord", "ascending"), ("shard", "ascending")])
+        answers = answers.take(order)
+        one, two = (answers.filter(pc.equal(answers.column("ord"), o)) for o in (1, 2))
+        own = numbers(model, words, _column(one, "levels", np.uint8).astype(np.int64))
+        level = np.where(known(own, t, b) > 0, _column(two, "levels", np.uint8).astype(np.int64), 0)
+        columns = _sums_of_texts(model, at, log10(own, t, b, level)[pair], _column(one, "counts", np.int64)[t][pair])
+        n = len(at) - 1
+        src = pa.array([state.column("src")[0].as_py()] * n, pa.int64())
+        return pa.table([src, pa.array(np.arange(n), pa.int32()), *columns], names=["src", "place", *SCORED])
+
+    return run
 
 
 class Trained:
     """The shards of a corpus, in the shared folder, and what is read from them."""
 
-    def __init__(self, training: DataFrame, text_col: str = "text", max_filter: int = MAX_FILTER, max_table: int = MAX_TABLE):
+    def __init__(self, training: DataFrame, text_col: str = "text", max_filter: int = MAX_FILTER):
         texts = training.select(F.col(f"`{text_col}`").alias("text"))
         n_docs = texts.count()
         self.bits = min(SHARD_BITS, max(6, math.ceil(math.log2(max(n_docs, 1) / 4000 + 1))))
@@ -356,64 +460,52 @@ class Trained:
         self.reduced = cut(blobs.groupBy("ord", "shard").applyInArrow(_reduce, REDUCED))
         sizes = {r["ord"]: r for r in self.reduced.groupBy("ord").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum(F.length("bits")).alias("bytes")).collect()}
         n_words, n_tokens = (sizes[1]["n"], sizes[1]["total"]) if sizes else (0, 0)
-        self.parts = {o: max(1, math.ceil(sizes[o]["bytes"] / max_filter)) if sizes else 1 for o in (1, 2)}
-        self.tables = max(1, math.ceil(n_words / max_table))
+        #: Whether all that the broadcast way needs is small enough.
+        self.small = not sizes or max(sizes[1]["bytes"], sizes[2]["bytes"], 12 * n_words) <= max_filter
         self.model = Model(n_tokens, n_words, n_docs, np.zeros(BANDS))
+        near = min(self.bits, 10)
+        befores = self.reduced.where("ord = 2").select("keys", "counts", "pairs").mapInArrow(_regrouped(near), "g int, keys binary, totals binary, pairs binary")
+        words = self.reduced.where("ord = 1").select(F.shiftright("shard", self.bits - near).alias("g"), "shard", "keys", "counts")
+        found = befores.groupBy("g").cogroup(words.groupBy("g")).applyInArrow(_fitted(n_docs), "band int, c long, t long")
         sums = np.zeros((BANDS, 2))
-        for part in range(self.tables):
-            table = self.table(part)
-            found = self.reduced.where("ord = 2").select("keys", "counts", "pairs").mapInArrow(_befores(table, n_docs if part == 0 else 0), "band int, c long, t long")
-            for r in found.groupBy("band").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():
-                sums[r["band"]] += r["c"], r["t"]
-            if self.tables > 1:
-                table.destroy()
-        self.exact = table if self.tables == 1 else None
+        for r in found.groupBy("band").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():
+            sums[r["band"]] = r["c"], r["t"]
         self.model.weights = sums[:, 0] / np.maximum(sums.sum(1), 1)
 
-    def filter(self, order: int, part: int):
-        """The broadcast filter of a part; up to max_filter bytes pass through the driver."""
-        parts = self.parts[order]
-        rows = self.reduced.where((F.col("ord") == order) & (F.col("shard") % parts == part))
+    def filter(self, order: int):
+        """The broadcast filter, which passes through the driver a shard at a time."""
+        rows = self.reduced.where(F.col("ord") == order)
         sizes = {r["shard"]: r["n"] for r in rows.select("shard", F.length("bits").alias("n")).collect()}  # two numbers a shard
-        own = Filter(self.bits, BASES[order], sizes, ((r["shard"], r["bits"]) for r in rows.select("shard", "bits").toLocalIterator()), part, parts)
+        own = Filter(self.bits, BASES[order], sizes, ((r["shard"], r["bits"]) for r in rows.select("shard", "bits").toLocalIterator()))
         return self.reduced.sparkSession.sparkContext.broadcast(own)
 
-    def table(self, part: int):
-        """The broadcast exact counts of a part of the words, at most max_table or so, sorted by hash."""
-        rows = self.reduced.where((F.col("ord") == 1) & (F.col("shard") % self.tables == part)).select("shard", "keys", "counts")
+    def table(self):
+        """The broadcast exact counts of the words, sorted by hash."""
+        rows = self.reduced.where(F.col("ord") == 1).select("shard", "keys", "counts")
         exact = sorted((r["shard"], bytes(r["keys"]), bytes(r["counts"])) for r in rows.toLocalIterator())
         counts = np.minimum(np.frombuffer(b"".join(c for *_, c in exact), np.int64), 0xFFFFFFFF).astype(np.uint32)
         return self.reduced.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(k for _, k, _ in exact), np.uint64), counts))
 
+    def probed(self, rows: DataFrame, kind: str) -> DataFrame:
+        """(id, SCORED..) of rows (id, text), with the probes sent to the filters."""
+        sent = written(rows.mapInArrow(_probes(self.bits), f"id {kind}, {PROBES}"), "probes")  # compressed, and read by kind
+        filters = self.reduced.select("ord", "shard", "bits", "keys", "counts")
+        probes = sent.where("ord in (1, 2)").select("src", "ord", "shard", "keys")
+        answers = probes.groupBy("ord", "shard").cogroup(filters.groupBy("ord", "shard")).applyInArrow(_answers(self.bits), "src long, ord int, shard int, levels binary, counts binary")
+        waiting = sent.where("ord = 3").select("src", "state")
+        schema = "src long, place int, n_tokens long, score double, n_known long, base_score double"
+        found = waiting.groupBy("src").cogroup(answers.groupBy("src")).applyInArrow(_joined(self.model), schema)
+        return sent.where("ord = 0").select("id", "src", "place").join(found, ["src", "place"]).select("id", *SCORED)
+
 
-def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter: int = MAX_FILTER, max_table: int = MAX_TABLE) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter: int = MAX_FILTER) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs, learnt from the texts of training."""
-    own = Trained(training, text_col, max_filter, max_table)
-    n_tokens, n_words = own.model.n_tokens, own.model.n_words
-    text = F.col(f"`{text_col}`")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
-    schema = f"id {rows.dtypes[0][1]}, h long, g long, n_tokens long, score double, n_known long, base_score double"
-    passes = [(t, b, p) for t in range(own.parts[1]) for b in range(own.parts[1]) for p in range(own.parts[2])]
-    if len(passes) == 1:
-        second = own.filter(1, 0)
-        out = rows.mapInArrow(_score(own.model, second, second, own.filter(2, 0), own.exact), schema)
+    own = Trained(training, text_col, max_filter)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    kind = rows.dtypes[0][1]
+    if own.small:
+        schema = f"id {kind}, n_tokens long, score double, n_known long, base_score double"
+        out = rows.mapInArrow(_score(own.model, own.filter(1), own.filter(2), own.table()), schema)
     else:
-        done: list[DataFrame] = []
-        for t, b, p in passes:
-            second, pairs = own.filter(1, t), own.filter(2, p)
-            first = second if own.parts[1] == 1 else own.filter(1, b)
-            done.append(cut(rows.mapInArrow(_score(own.model, second, first, pairs, own.exact), schema)).withColumn("first", F.lit(not done)))
-            for shared in {second, first, pairs}:
-                shared.destroy()
-        same = F.sum(F.col("first").cast("long"))  # rows that repeat have equal scores and come apart again
-        once = [F.first(c).alias(c) for c in ("n_tokens", "n_known", "base_score")]
-        out = reduce(DataFrame.union, done).groupBy("id", "h", "g").agg(*once, (F.sum("score") / same).alias("score"), same.alias("same"))
-        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("same").cast("int"))))
-    if own.exact is None:
-        words = own.reduced.where("ord = 1").select("keys", "counts").mapInArrow(_exact, "word long, c long")
-        found = rows.select("h", "g", "text").mapInArrow(_words, "h long, g long, word long, times long").join(words, "word", "left").groupBy("h", "g")
-        end = F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("times")).otherwise(0))
-        logs = F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n_tokens + n_words + 1))))
-        known = F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))
-        out = out.drop("n_known", "base_score").join(found.agg((known / end).cast("long").alias("n_known"), (logs / end).alias("base_score")), ["h", "g"])
-    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+        out = own.probed(rows, kind)
+    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(own.model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
