@@ -113,9 +113,15 @@ def _windows(c: Column, low: int, high: int) -> Column:
     return let(letters, lambda s: F.flatten(F.array(*[one(s, n) for n in range(low, high + 1)])))
 
 
-def terms(c: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def terms(c: Column, synonyms: dict[str, list[str]] | None = None) -> Column:
+    """Lower-case runs of letters and digits; each is followed by its synonyms, if it has any."""
+    words = F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    if not synonyms:
+        return words
+    pairs = [x for word, others in sorted(synonyms.items()) for x in (F.lit(word), F.array(*[F.lit(o) for o in others]))]
+    table = F.create_map(*pairs)
+    none = F.array().cast("array<string>")
+    return F.flatten(F.transform(words, lambda w: F.concat(F.array(w), F.coalesce(F.try_element_at(table, w), none))))
 
 
 def path_levels(c: Column, separator: str = "/") -> Column:

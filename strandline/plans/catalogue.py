@@ -744,3 +744,9 @@ def distinct_errors(spark, sf):
 def sampled_images(spark, sf):
     size = F.when(F.col("p_size") % 4 == 0, 5)
     return summaries.sampled_images(_t(spark, sf, "part").select(F.when(F.col("p_size") % 2 == 0, "image").otherwise("html").alias("content_type_norm"), size.alias("image_size")))
+
+
+@query("SELECT n_nationkey, array_to_string(list_concat(CASE WHEN r_name = 'ASIA' THEN ['asia', 'orient', 'east'] ELSE string_split_regex(lower(r_name), '[^a-z0-9]+') END, string_split_regex(lower(n_name), '[^a-z0-9]+')), '|') AS terms FROM nation JOIN region ON n_regionkey = r_regionkey WHERE NOT contains(n_name, ' ') AND NOT contains(r_name, ' ')")
+def synonym_terms(spark, sf):
+    rows = _t(spark, sf, "nation").join(F.broadcast(_t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")).where("not contains(n_name, ' ') and not contains(r_name, ' ')")
+    return rows.select("n_nationkey", F.array_join(text.terms(F.concat_ws(" / ", "r_name", "n_name"), {"asia": ["orient", "east"]}), "|").alias("terms"))

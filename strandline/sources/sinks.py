@@ -16,19 +16,21 @@ def write_jsonl(docs: DataFrame, path: str, gzip: bool = True, by: str | None =
     (writer.partitionBy(by) if by else writer).json(path)
 
 
-def xml_fields(docs: DataFrame) -> DataFrame:
-    """docs as (field: array of name and value): a field for each value that isn't null."""
+def xml_fields(docs: DataFrame) -> Column:
+    """Array of name and value: a field for each value that isn't null."""
     named = lambda name: lambda v: F.struct(F.lit(name).alias("_name"), v.alias("_VALUE"))
     parts = []
     for name, kind in docs.dtypes:
         values = F.transform(F.coalesce(F.col(name), F.array()), lambda v: v.cast("string")) if kind.startswith("array") else F.array(F.col(name).cast("string"))
         parts.append(F.transform(F.filter(values, lambda v: v.isNotNull()), named(name)))
-    return docs.select(F.flatten(F.array(*parts)).alias("field"))
+    return F.flatten(F.array(*parts)).alias("field")
 
 
-def write_xml(docs: DataFrame, path: str, gzip: bool = False, each: bool = False) -> None:
-    """``add`` of ``doc`` elements; with each, a file for every document."""
-    writer = xml_fields(docs).write.option("rootTag", "add").option("rowTag", "doc").option("compression", "gzip" if gzip else "none")
+def write_xml(docs: DataFrame, path: str, gzip: bool = False, each: bool = False, by: str | None = None) -> None:
+    """``add`` of ``doc`` elements; with each, a file for every document; with by, a folder for each of a column's values."""
+    rows = docs.select(xml_fields(docs), *([F.col(by).alias(f"of_{by}")] if by else []))
+    writer = rows.write.option("rootTag", "add").option("rowTag", "doc").option("compression", "gzip" if gzip else "none")
+    writer = writer.partitionBy(f"of_{by}") if by else writer
     (writer.option("maxRecordsPerFile", 1) if each else writer).format("xml").save(path)
 
 

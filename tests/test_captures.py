@@ -178,6 +178,8 @@ def test_sinks(spark, tmp_path):
     sinks.write_xml(docs, str(tmp_path / "x"))
     whole = "".join(open(f).read() for f in glob.glob(str(tmp_path / "x/part-*")))
     assert '<field name="v">b</field>' in whole and 'name="w"' not in whole and "<add>" in whole
+    sinks.write_xml(docs, str(tmp_path / "y"), each=True, by="source_file")
+    assert '<field name="source_file">f</field>' in open(glob.glob(str(tmp_path / "y/of_source_file=f/part-*"))[0]).read()
     with pytest.raises(ValueError):
         sinks.write(docs)
     with pytest.raises(ValueError):
