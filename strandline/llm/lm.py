@@ -14,22 +14,21 @@ Bell), summed over the distinct pairs of all shards. The text's score is the sum
 the first word follows a start mark.
 
 The filters and the exact word counts behind the base score are broadcast while each takes ``MAX_FILTER`` bytes at most.
-Beyond, the probes travel instead of the filters: a task sends the distinct words and pairs of some texts to the
-shards that hold their filters, these answer with levels, and the answers meet the texts' tokens, which wait in the shared folder.
-So the work is in proportion to the texts whatever the corpus, and scores are the same either way.
+Beyond, the probes travel instead of the filters: texts are dealt to groups by a hash, a group sends its distinct words and pairs
+to the units of shards that hold their filters, these look up each key once for all groups and answer with levels, and the answers
+meet the texts, which are read again. Scores are the same either way. Rows with the same id and text are in one group.
 
 A null text is empty and has the end mark alone. Repeated rows have equal scores. Without training rows every count is
-0. An empty table gives an empty result. Other columns are ignored. Pairs and words are told apart by 64 bits of hash.
+0. An empty table gives an empty result. Other columns are ignored. Words are told apart by 64 bits of hash, pairs by 32
+and 32 of their first word.
 """
 
 from __future__ import annotations
 
 import math
-import os
-import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._common import cut, written
+from strandline.llm._common import cut
 from strandline.llm._tokens import mix, pieces, release, word_hashes
 
 BASES = {1: 1.1, 2: 1.25}
@@ -45,8 +44,10 @@ BITS, HASHES = 8, 5
 #: Most bits of a shard's number.
 SHARD_BITS = 20
 MAX_FILTER = 192 << 20
-#: Tokens of a group of texts whose probes travel together.
-GROUP = 1_000_000
+#: Bytes of a group of texts whose probes travel together, and of those that one unit of shards looks up.
+GROUP, UNIT = 6 << 20, 16 << 20
+#: Groups ask in so many rounds at most, of so many bytes of text at least: the probes of a round wait on disk.
+ROUNDS, ROUND = 4, 256 << 20
 #: Rows of n-grams that a task sums before it sends them on.
 HELD = 2_000_000
 #: A task remembers words that occur this often, up to so many before it begins anew; the others are looked up each time.
@@ -242,7 +243,7 @@ def known(words: np.ndarray, t: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def log10(words: np.ndarray, t: np.ndarray, b: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """log10 P of each pair's second word."""
+    """log10 P of each token, by the places of it and of the word before, and the level of the pair."""
     both = np.minimum(bounds(BASES[2])[0][level], known(words, t, b))
     return np.log10(words[2][b] * both + words[3][b] * words[0][t])
 
@@ -284,20 +285,23 @@ class Lexicon:
 
 
 def distinct(before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The words in order; the distinct pairs' keys in order and the places of their second and first words; which of the pairs each token's is."""
+    """The words in order, and the places of each token and of the word before it; the pairs' keys in order, and which is each token's.
+
+    Pairs with the same first word share a key once in 2**32, so a key tells of levels, never of words.
+    """
     words, back = np.unique(np.concatenate([token, before]), return_inverse=True)
-    key, where, pair = np.unique(pair_keys(before, token), return_index=True, return_inverse=True)
-    return words, key, back[: len(token)][where], back[len(token) :][where], pair
+    key, pair = np.unique(pair_keys(before, token), return_inverse=True)
+    return words, back[: len(token)], back[len(token) :], key, pair
 
 
 def terms(lexicon: Lexicon, pairs: Filter, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 P of each token, and the tokens' exact counts."""
-    words, key, t, b, pair = distinct(before, token)
+    words, t, b, key, pair = distinct(before, token)
     own = lexicon.of(words)
-    level = np.zeros(len(key), np.int64)
-    seen = np.flatnonzero(known(own, t, b))
-    level[seen] = pairs.level(key[seen])
-    return log10(own, t, b, level)[pair], own[4][t][pair]
+    level, can = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    can[pair[known(own, t, b) > 0]] = True
+    level[can] = pairs.level(key[can])
+    return log10(own, t, b, level[pair]), own[4][t]
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray, before: np.ndarray, total: np.ndarray, pairs: np.ndarray, n_docs: int) -> np.ndarray:
@@ -367,84 +371,77 @@ def _score(model: Model, words, pairs, table):
     return run
 
 
-PROBES = "src long, ord int, shard int, place int, keys binary, state binary"
+def _unit(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _probes(bits: int):
-    """For groups of texts, by a random number each: their ids (ord 0), the distinct words and pairs by shard (1 and 2), and what awaits their levels (3)."""
+def _group(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``tokens`` of a group's texts, in the table's order."""
+    parts = [tokens(data, offsets) for _, _, data, offsets in pieces(table.column("text"))]
+    token, before = (np.concatenate(x) for x in zip(*[p[:2] for p in parts], strict=True))
+    return token, before, np.cumsum(np.concatenate([[0], *[np.diff(p[2]) for p in parts]]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(ids: pa.Array, src: int, order: int, shard: list[int], place: list[int], keys: list, state: list) -> pa.RecordBatch:
-            n = len(shard)
-            columns = [ids, pa.array([src] * n, pa.int64()), pa.array([order] * n, pa.int32()), pa.array(shard, pa.int32()), pa.array(place, pa.int32()), pa.array(keys, pa.binary()), pa.array(state, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["id", "src", "ord", "shard", "place", "keys", "state"])
-
-        def group(ids: list[pa.Array], parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-            src = int.from_bytes(os.urandom(8), "little", signed=True)
-            token, before = (np.concatenate(x) for x in zip(*[p[:2] for p in parts], strict=True))
-            at = np.cumsum(np.concatenate([[0], *[np.diff(p[2]) for p in parts]]))
-            words, key, t, b, pair = distinct(before, token)
-            n = len(at) - 1
-            yield rows(pa.concat_arrays(ids), src, 0, [0] * n, list(range(n)), [None] * n, [None] * n)
-            for order, keys in ((1, words), (2, key)):
-                shard = (keys >> np.uint64(64 - bits)).astype(np.int64)
-                ends = np.searchsorted(shard, np.arange((1 << bits) + 1))
-                full = [(s, keys[x:y].tobytes()) for s, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if y > x]
-                for i in range(0, len(full), 4096):
-                    shards, blobs = (list(x) for x in zip(*full[i : i + 4096], strict=True))
-                    yield rows(pa.nulls(len(shards), kind), src, order, shards, [0] * len(shards), blobs, [None] * len(shards))
-            state = pickle.dumps((words, *(x.astype(np.uint32) for x in (t, b, pair)), at))
-            yield rows(pa.nulls(1, kind), src, 3, [0], [0], [None], [state])
-
-        ids, parts, size, kind = [], [], 0, None
-        for batch in batches:
-            kind = batch.column("id").type
-            for first, end, data, offsets in pieces(batch.column("text")):
-                ids.append(batch.column("id").slice(first, end - first))
-                parts.append(tokens(data, offsets))
-                size += len(parts[-1][0])
-                if size > GROUP:
-                    yield from group(ids, parts)
-                    ids, parts, size = [], [], 0
-        if parts:
-            yield from group(ids, parts)
+
+PROBES = "src long, ord int, unit int, keys binary"
+
+
+def _probes(bits: int):
+    """A group's distinct words (ord 1) and pairs (2) in order, a row for each unit."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def run(table: pa.Table) -> pa.Table:
+        token, before, _ = _group(table)
+        src, rows = table.column("src")[0].as_py(), []
+        for order, keys in ((1, np.unique(np.append(token, START))), (2, np.unique(pair_keys(before, token)))):
+            units = _unit(keys, bits)
+            begin = np.flatnonzero(np.r_[True, units[1:] != units[:-1]])
+            rows += [(src, order, u, keys[x:y].tobytes()) for u, x, y in zip(units[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(keys)], strict=True)]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["src", "ord", "unit", "keys"])
 
     return run
 
 
+ANSWERS = "src long, ord int, unit int, levels binary, counts binary"
+
+
 def _answers(bits: int):
-    """Levels, and of words the exact counts, for the probes that have come to a shard."""
+    """Levels, and of words the exact counts, for the probes that have come to a unit: each distinct key is looked up once, whoever asks."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(probes: pa.Table, shards: pa.Table) -> pa.Table:
-        rows = []
+        columns = [[] for _ in kinds]
         if probes.num_rows:
-            order, shard = probes.column("ord")[0].as_py(), probes.column("shard")[0].as_py()
-            blobs = [shards.column("bits")[0].as_py()] if shards.num_rows else []
-            own = Filter(bits, BASES[order], {shard: len(b) for b in blobs}, ((shard, b) for b in blobs))
-            exact = (_column(shards, "keys", np.uint64), _column(shards, "counts", np.int64)) if order == 1 else None
-            for src, k in zip(probes.column("src").to_pylist(), probes.column("keys"), strict=True):
-                keys = np.frombuffer(k.as_buffer(), np.uint64)
-                rows.append((src, order, shard, own.level(keys).astype(np.uint8).tobytes(), counts_of(keys, exact).tobytes() if exact else None))
-        kinds = {"src": pa.int64(), "ord": pa.int32(), "shard": pa.int32(), "levels": pa.binary(), "counts": pa.binary()}
-        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
+            order, unit = probes.column("ord")[0].as_py(), probes.column("unit")[0].as_py()
+            shards = shards.take(pc.sort_indices(shards, [("shard", "ascending")]))
+            rows = list(zip(shards.column("shard").to_pylist(), shards.column("bits").to_pylist(), strict=True))
+            own = Filter(bits, BASES[order], {s: len(b) for s, b in rows}, rows)
+            asked = probes.column("keys").to_pylist()
+            ends = np.cumsum([len(k) >> 3 for k in asked]).tolist()
+            keys, back = np.unique(np.frombuffer(b"".join(asked), np.uint64), return_inverse=True)
+            level, count = own.level(keys).astype(np.uint8)[back], None
+            if order == 1:
+                count = counts_of(keys, (_column(shards, "keys", np.uint64), _column(shards, "counts", np.int64)))[back]
+            spans = list(zip([0, *ends[:-1]], ends, strict=True))
+            columns = [probes.column("src").to_pylist(), [order] * len(spans), [unit] * len(spans), [level[x:y].tobytes() for x, y in spans], [None if count is None else count[x:y].tobytes() for x, y in spans]]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["src", "ord", "unit", "levels", "counts"])
 
     return run
 
 
 def _joined(model: Model):
-    """The scores of a group's texts by place, from what awaited the levels and these."""
+    """The scores of a group's texts, whose distinct words and pairs are found again in the order in which their levels were asked for."""
 
-    def run(state: pa.Table, answers: pa.Table) -> pa.Table:
-        words, t, b, pair, at = pickle.loads(state.column("state")[0].as_py())
-        order = pc.sort_indices(answers, [("ord", "ascending"), ("shard", "ascending")])
-        answers = answers.take(order)
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        token, before, at = _group(texts)
+        words, t, b, key, pair = distinct(before, token)
+        answers = answers.take(pc.sort_indices(answers, [("ord", "ascending"), ("unit", "ascending")]))
         one, two = (answers.filter(pc.equal(answers.column("ord"), o)) for o in (1, 2))
-        own = numbers(model, words, _column(one, "levels", np.uint8).astype(np.int64))
-        level = np.where(known(own, t, b) > 0, _column(two, "levels", np.uint8).astype(np.int64), 0)
-        columns = _sums_of_texts(model, at, log10(own, t, b, level)[pair], _column(one, "counts", np.int64)[t][pair])
-        n = len(at) - 1
-        src = pa.array([state.column("src")[0].as_py()] * n, pa.int64())
-        return pa.table([src, pa.array(np.arange(n), pa.int32()), *columns], names=["src", "place", *SCORED])
+        read, level = _column(one, "levels", np.uint8), _column(two, "levels", np.uint8)
+        if (len(read), len(level)) != (len(words), len(key)):
+            raise ValueError("the texts to score changed while they were scored")
+        own = numbers(model, words, read.astype(np.int64))
+        columns = _sums_of_texts(model, at, log10(own, t, b, level.astype(np.int64)[pair]), _column(one, "counts", np.int64)[t])
+        return pa.table([texts.column("id"), *columns], names=["id", *SCORED])
 
     return run
 
@@ -487,15 +484,21 @@ class Trained:
         return self.reduced.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(k for _, k, _ in exact), np.uint64), counts))
 
     def probed(self, rows: DataFrame, kind: str) -> DataFrame:
-        """(id, SCORED..) of rows (id, text), with the probes sent to the filters."""
-        sent = written(rows.mapInArrow(_probes(self.bits), f"id {kind}, {PROBES}"), "probes")  # compressed, and read by kind
-        filters = self.reduced.select("ord", "shard", "bits", "keys", "counts")
-        probes = sent.where("ord in (1, 2)").select("src", "ord", "shard", "keys")
-        answers = probes.groupBy("ord", "shard").cogroup(filters.groupBy("ord", "shard")).applyInArrow(_answers(self.bits), "src long, ord int, shard int, levels binary, counts binary")
-        waiting = sent.where("ord = 3").select("src", "state")
-        schema = "src long, place int, n_tokens long, score double, n_known long, base_score double"
-        found = waiting.groupBy("src").cogroup(answers.groupBy("src")).applyInArrow(_joined(self.model), schema)
-        return sent.where("ord = 0").select("id", "src", "place").join(found, ["src", "place"]).select("id", *SCORED)
+        """(id, SCORED..) of rows (id, text), with the probes sent to the filters, some groups of texts after the others."""
+        size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+        groups, rounds = size // GROUP + 1, min(ROUNDS, size // ROUND + 1)
+        unit_bits = min(self.bits, max(4, math.ceil(math.log2(size / rounds / UNIT + 1))))
+        rows = rows.withColumn("src", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))  # the same whenever it is computed
+        unit = F.shiftright("shard", self.bits - unit_bits).alias("unit")
+        words = [F.when(F.col("ord") == 1, F.col(c)).alias(c) for c in ("keys", "counts")]
+        filters = self.reduced.select("ord", unit, "shard", "bits", *words)
+        answers = []
+        for i in range(rounds):
+            asking = rows.where(F.col("src") % rounds == i).select("src", "text")
+            probes = asking.groupBy("src").applyInArrow(_probes(unit_bits), PROBES)
+            answers.append(cut(probes.groupBy("ord", "unit").cogroup(filters.groupBy("ord", "unit")).applyInArrow(_answers(self.bits), ANSWERS)))
+        schema = f"id {kind}, n_tokens long, score double, n_known long, base_score double"
+        return rows.groupBy("src").cogroup(reduce(DataFrame.union, answers).groupBy("src")).applyInArrow(_joined(self.model), schema)
 
 
 def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter: int = MAX_FILTER) -> DataFrame:

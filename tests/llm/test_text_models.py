@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,53 @@ def test_base_scores_equal_brute_force(spark, limits, monkeypatch):
         assert all(got[i].score == pytest.approx(whole[i], rel=1e-9) for i in whole)
 
 
+def same_pair_keys():
+    """Two words that share a pair's key after the word v."""
+    words = np.array([f"w{i}" for i in range(300_000)])
+    keys, _ = lm.word_hashes(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, sum(map(len, words)) + len(words) - 1]))
+    v, _ = lm.word_hashes(np.frombuffer(b"v", np.uint8), np.array([0, 1]))
+    pairs = lm.pair_keys(np.full(len(keys), v[0]), keys)
+    order = np.argsort(pairs)
+    at = np.flatnonzero(pairs[order][1:] == pairs[order][:-1])[0]
+    return words[order[at]], words[order[at + 1]]
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_filter": 0}])
+def test_words_whose_pairs_share_a_key_keep_their_own_counts(spark, limits):
+    one, two = same_pair_keys()
+    texts = [f"v {one}", f"v {two}", *[f"{two} x"] * 9]
+    got = {r.doc_id: r for r in lm.score(*[documents(spark, texts).coalesce(1)] * 2, **limits).collect()}
+    c = Counter(w for t in counted(texts) for w in t)
+    for i, t in enumerate(counted(texts)):
+        assert got[i].base_score == pytest.approx(sum(math.log10((c[w] + 1) / (c.total() + len(c) + 1)) for w in t), rel=1e-9)
+
+
+def test_rounds_of_probes_give_the_scores_of_the_broadcast_way(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    whole = {r.doc_id: r for r in lm.score(docs, docs).collect()}
+    for name, most in (("GROUP", 50_000), ("UNIT", 10_000), ("ROUND", 200_000)):
+        monkeypatch.setattr(lm, name, most)
+    got = lm.score(docs, docs, max_filter=0).collect()
+    assert len(got) == len(whole)
+    assert all(tuple(r)[:-2] == tuple(whole[r.doc_id])[:-2] and tuple(r)[-2:] == pytest.approx(tuple(whole[r.doc_id])[-2:], rel=1e-9) for r in got)
+
+
+def test_a_key_is_looked_up_once_whoever_asks(monkeypatch):
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+    counts = rng.integers(1, 1000, len(keys))
+    shards = pa.table({"shard": [0], "bits": [lm.fill(keys, counts, lm.BASES[1]).tobytes()], "keys": [keys.tobytes()], "counts": [counts.tobytes()]})
+    asked = [np.sort(rng.choice(keys, 50, replace=False)) for _ in range(100)]
+    probes = pa.table({"src": pa.array(range(100)), "ord": [1] * 100, "unit": [0] * 100, "shard": [0] * 100, "keys": [k.tobytes() for k in asked]})
+    looked, level = [], lm.Filter.level
+    monkeypatch.setattr(lm.Filter, "level", lambda self, k: looked.append(len(k)) or level(self, k))
+    got = lm._answers(1)(probes, shards)
+    assert sum(looked) <= len(keys)
+    for k, own, found in zip(asked, got.column("levels").to_pylist(), got.column("counts").to_pylist(), strict=True):
+        assert (np.frombuffer(own, np.uint8) >= lm.levels(counts[np.searchsorted(keys, k)], lm.BASES[1])).all()
+        assert (np.frombuffer(found, np.int64) == counts[np.searchsorted(keys, k)]).all()
+
+
 def test_model_beats_the_base_on_held_out_text(spark, sf):
     got = QUERIES["op2_lm"](spark, sf).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
