@@ -671,9 +671,8 @@ def xml_roundtrip(spark, sf):
     folder = _scratch(spark, "xml")
     docs = _t(spark, sf, "documents").where("text is not null")
     sinks.write_xml(docs.select("doc_id", "source", F.base64(F.col("text").cast("binary")).alias("body")), folder)
-    back = spark.read.schema("field array<struct<_name: string, _VALUE: string>>").option("rowTag", "doc").format("xml").load(folder)
-    value = lambda n: F.get(F.filter("field", lambda f: f["_name"] == n), F.lit(0))["_VALUE"]
-    return back.select(value("doc_id").cast("long").alias("doc_id"), value("source").alias("source"), F.md5(F.unbase64(value("body"))).alias("md5"))
+    value = lambda n: F.get(F.filter("fields", lambda f: f["name"] == n), F.lit(0))["value"]
+    return sinks.read_xml(spark, folder).select(value("doc_id").cast("long").alias("doc_id"), value("source").alias("source"), F.md5(F.unbase64(value("body"))).alias("md5"))
 
 
 @query("SELECT doc_id::VARCHAR AS id, source, 'other' AS kind, len(string_split(lang, 'e'))::BIGINT AS n FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")

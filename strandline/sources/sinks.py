@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,18 @@ def write_jsonl(docs: DataFrame, path: str, gzip: bool = True, by: str | None =
     (writer.partitionBy(by) if by else writer).json(path)
 
 
+#: Characters that XML 1.0 can't hold in any form.
+NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]"
+
+
 def xml_fields(docs: DataFrame) -> Column:
-    """Array of name and value: a field for each value that isn't null."""
-    named = lambda name: lambda v: F.struct(F.lit(name).alias("_name"), v.alias("_VALUE"))
+    """Array of name and value: a field for each value that isn't null; one that XML can't hold, or of blanks alone, is in base64, and says so."""
+
+    def named(name: str) -> Callable[[Column], Column]:
+        field = lambda v, encoding=None: F.struct(F.lit(name).alias("_name"), F.lit(encoding).cast("string").alias("_encoding"), v.alias("_VALUE"))
+        odd = lambda v: (v != "") & (F.btrim(v, F.lit(" \t\n\r")) == "") | v.rlike(NOT_XML)
+        return lambda v: F.when(odd(v), field(F.base64(v.cast("binary")), "base64")).otherwise(field(v))
+
     parts = []
     for name, kind in docs.dtypes:
         values = F.transform(F.coalesce(F.col(name), F.array()), lambda v: v.cast("string")) if kind.startswith("array") else F.array(F.col(name).cast("string"))
@@ -34,6 +43,13 @@ def write_xml(docs: DataFrame, path: str, gzip: bool = False, each: bool = False
     (writer.option("maxRecordsPerFile", 1) if each else writer).format("xml").save(path)
 
 
+def read_xml(spark: SparkSession, path: str) -> DataFrame:
+    """(fields): for each ``doc``, its names and values as written, empty and blank ones too."""
+    rows = spark.read.schema("field array<struct<_name: string, _encoding: string, _VALUE: string>>").option("rowTag", "doc").option("ignoreSurroundingSpaces", "false").format("xml").load(path)
+    value = lambda f: F.when(f["_encoding"] == "base64", F.unbase64(f["_VALUE"]).cast("string")).otherwise(F.coalesce(f["_VALUE"], F.lit("")))
+    return rows.select(F.transform("field", lambda f: F.struct(f["_name"].alias("name"), value(f).alias("value"))).alias("fields"))
+
+
 SINKS = {"jsonl": write_jsonl, "xml": write_xml, "parquet": lambda docs, path: docs.write.parquet(path)}
 
 

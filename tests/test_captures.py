@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strandline.config import DATASET, DEFAULT
 from strandline.functions import html, images, payload
 from strandline.operators import annotate, names, records, search, summaries
+from strandline.plans import catalogue
 from strandline.plans import documents as plans
 from strandline.plans.documents import documents
 from strandline.plans.enrich import enrich
@@ -277,3 +278,17 @@ def test_streams(spark, folder, tmp_path):
     query.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == got.select("id").distinct().count() and got.where("url = 'http://www.example.org/'").count() == 1
+
+
+def test_xml_gives_back_empty_blank_and_odd_values(spark, tmp_path):
+    given = [(i, v) for i, v in enumerate(["", " ", "\t\n", " a ", "a\r\nb", "\x00", "\x0bx", "\ufffe", "\U0001f600", "<&>]]>", "null", None])]
+    sinks.write_xml(spark.createDataFrame(given, "i int, v string"), str(tmp_path / "x"))
+    rows = [{f.name: f.value for f in r.fields} for r in sinks.read_xml(spark, str(tmp_path / "x")).collect()]
+    assert sorted((int(r["i"]), r.get("v")) for r in rows) == given
+
+
+def test_xml_roundtrip_keeps_empty_texts_and_odd_sources(spark, tmp_path):
+    given = [(1, "", " a"), (2, "x", "\x0b"), (3, "y", ""), (4, "z", None), (5, " ", " ")]
+    spark.createDataFrame(given, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalogue.QUERIES["xml_roundtrip"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.md5, r.source) for r in got) == [(i, hashlib.md5(t.encode()).hexdigest(), s) for i, t, s in given]
