@@ -142,8 +142,8 @@ def page_links(spark, sf):
 
 @query(f"SELECT page_id, count(DISTINCT link) AS n FROM {_LINKS} GROUP BY page_id")
 def parsed_links(spark, sf):
-    pages = _t(spark, sf, "pages").select("page_id", html.features("html", "url").alias("f"))
-    return pages.select("page_id", F.size("f.links").cast("long").alias("n")).where("n > 0")
+    pages = _t(spark, sf, "pages").select("page_id", html.feature("links", "html", "url").alias("links"))
+    return pages.select("page_id", F.size("links").cast("long").alias("n")).where("n > 0")
 
 
 @query(f"SELECT host, count(*) AS n, count(DISTINCT link) AS n_distinct FROM {_LINKS} GROUP BY host")
@@ -165,8 +165,8 @@ def elements_used(spark, sf):
 
 @query("SELECT tag, count(*) AS n FROM (SELECT DISTINCT page_id, lower(unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1))) AS tag FROM pages) GROUP BY tag")
 def parsed_elements(spark, sf):
-    pages = _t(spark, sf, "pages").select(F.explode(html.features("html", "url")["elements"]).alias("tag"))
-    return pages.where(~F.contains("tag", F.lit("/"))).groupBy("tag").agg(F.count("*").alias("n"))
+    pages = _t(spark, sf, "pages").select(html.feature("elements", "html", "url").alias("tags"))
+    return pages.select(F.explode("tags").alias("tag")).where(~F.contains("tag", F.lit("/"))).groupBy("tag").agg(F.count("*").alias("n"))
 
 
 @query("SELECT page_id, trim(regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1)) AS title, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages")

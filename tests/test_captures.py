@@ -10,11 +10,12 @@ import io
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strandline.config import DATASET, DEFAULT
-from strandline.functions import html, images, payload
+from strandline.functions import batches, html, images, payload
 from strandline.operators import annotate, names, records, search, summaries
 from strandline.plans import catalogue
 from strandline.plans import documents as plans
@@ -292,3 +293,18 @@ def test_xml_roundtrip_keeps_empty_texts_and_odd_sources(spark, tmp_path):
     spark.createDataFrame(given, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     got = catalogue.QUERIES["xml_roundtrip"](spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.md5, r.source) for r in got) == [(i, hashlib.md5(t.encode()).hexdigest(), s) for i, t, s in given]
+
+
+def _parses(frame) -> int:
+    return frame._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [")
+
+
+def test_pages_are_parsed_once_and_in_runs(spark, sf, monkeypatch):
+    assert _parses(catalogue.QUERIES["parsed_links"](spark, sf)) == 1
+    assert list(batches.runs(pa.array(["a", None, "b" * 999, "", "c"]), 130)) == [(0, 2), (2, 3), (3, 5)] and list(batches.runs(pa.array([], pa.string()))) == []
+    monkeypatch.setattr(batches, "TOGETHER", 300)
+    pages = [PAGE.decode(), None, "", "<a href=x>é</a>" * 50, PAGE.decode()]
+    got = html._parsed(pa.array(pages), pa.array(["http://a.org/"] * 4 + [None]), False, tuple(html.FEATURES.names)).to_pylist()
+    for row, page, base in zip(got, pages, ["http://a.org/"] * 4 + [None], strict=True):
+        want = dict.fromkeys(html.FEATURES.names) if page is None else html.parse(page, base)
+        assert {**row, "meta": None if row["meta"] is None else dict(row["meta"])} == want
