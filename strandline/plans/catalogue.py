@@ -176,7 +176,7 @@ def page_titles(spark, sf):
 
 @query()
 def page_text(spark, sf):
-    pages = _t(spark, sf, "pages").select("page_id", html.features("html", "url")["text"].alias("text"))
+    pages = _t(spark, sf, "pages").select("page_id", html.feature("text", "html", "url").alias("text"))
     return pages.select("page_id", F.length("text").alias("n"), F.md5(F.col("text").cast("binary")).alias("md5"))
 
 

@@ -308,3 +308,7 @@ def test_pages_are_parsed_once_and_in_runs(spark, sf, monkeypatch):
     for row, page, base in zip(got, pages, ["http://a.org/"] * 4 + [None], strict=True):
         want = dict.fromkeys(html.FEATURES.names) if page is None else html.parse(page, base)
         assert {**row, "meta": None if row["meta"] is None else dict(row["meta"])} == want
+
+
+def test_page_text_leaves_python_alone(spark, sf):
+    assert "licenses" not in catalogue.QUERIES["page_text"](spark, sf)._jdf.queryExecution().executedPlan().toString()
