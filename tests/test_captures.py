@@ -312,3 +312,8 @@ def test_pages_are_parsed_once_and_in_runs(spark, sf, monkeypatch):
 
 def test_page_text_leaves_python_alone(spark, sf):
     assert "licenses" not in catalogue.QUERIES["page_text"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_linked_hosts_parse_pages_once(spark, sf):
+    plan = catalogue.QUERIES["linked_hosts"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert sum("parsed(" in line for line in plan.splitlines() if line.lstrip(" :+-*()0123456789").startswith("ArrowEvalPython")) == 1
