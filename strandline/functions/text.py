@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
@@ -56,44 +57,78 @@ def fuzzy_text(c: Column) -> Column:
 _B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
+_START, _PRIME = 0x27, 0x13  # the low six bits of the hash's start and prime: no others reach a signature
+_STEP = np.array([[(_PRIME * x >> k) & 1 for x in range(1 << k)] + [0] * (64 - (1 << k)) for k in range(6)], np.uint8)  # bit k of a product but for bit k of x
+
+
+def _rolling(points: np.ndarray) -> np.ndarray:
+    """The rolling hash after each byte; it depends on the last seven."""
+    roll = np.zeros(len(points), np.uint32)
+    shifted = np.zeros(len(points), np.uint32)
+    wide = points.astype(np.uint32)
+    for k in range(min(7, len(points))):
+        last = wide[: len(wide) - k]
+        roll[k:] += last * np.uint32(8 - k)
+        shifted[k:] ^= last << np.uint32(5 * k)
+    return roll + shifted
+
+
+def _piece_hashes(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The low six bits of the hash of each piece, the last of its bytes being at ends.
+
+    Multiplying by an odd number leaves a bit's own place alone but for what lower bits carry, so each bit is a running
+    parity once the lower ones are known.
+    """
+    points = points[: ends[-1] + 1]
+    starts = np.r_[0, ends[:-1] + 1]
+    state = np.zeros(len(points), np.uint8)
+    before = np.empty(len(points), np.uint8)
+    for k in range(6):
+        before[1:] = state[:-1]
+        before[starts] = _START & ((1 << k) - 1)
+        bit = _STEP[k][before] ^ ((points >> k) & 1)
+        bit[starts] ^= _START >> k & 1
+        parity = np.bitwise_xor.reduceat(bit, starts)
+        bit[starts[1:]] ^= parity[:-1]
+        state |= np.bitwise_xor.accumulate(bit) << k
+    return state[ends]
+
+
 def fuzzy_hash(data: bytes) -> tuple[int, str, str]:
     """Context-triggered piecewise hash: block size, and signatures at it and at twice it."""
     size = 3
     while size * 64 < len(data):
         size *= 2
-    while True:
-        window, a, b, c = bytearray(7), 0, 0, 0
-        h1 = h2 = 0x28021967
-        one, two = [], []
-        for n, byte in enumerate(data):
-            b = b - a + 7 * byte
-            a = a + byte - window[n % 7]
-            window[n % 7] = byte
-            c = ((c << 5) & 0xFFFFFFFF) ^ byte
-            h1, h2 = (h1 * 0x01000193 & 0xFFFFFFFF) ^ byte, (h2 * 0x01000193 & 0xFFFFFFFF) ^ byte
-            roll = (a + b + c) & 0xFFFFFFFF
-            if roll % size == size - 1:
-                if len(one) < 63:
-                    one.append(_B64[h1 & 63])
-                    h1 = 0x28021967
-                if roll % (2 * size) == 2 * size - 1 and len(two) < 31:
-                    two.append(_B64[h2 & 63])
-                    h2 = 0x28021967
-        if (a + b + c) & 0xFFFFFFFF:
-            one.append(_B64[h1 & 63])
-            two.append(_B64[h2 & 63])
-        if size > 3 and len(one) < 32:
-            size //= 2
-        else:
-            return size, "".join(one), "".join(two)
-
-
-@F.pandas_udf(StructType().add("bs", IntegerType()).add("h1", StringType()).add("h2", StringType()))
-def fuzzy(text):
-    import pandas as pd
-
-    rows = [fuzzy_hash((t or "").encode()) for t in text]
-    return pd.DataFrame(rows, columns=["bs", "h1", "h2"])
+    if not data:
+        return size, "", ""
+    points = np.frombuffer(data, np.uint8)
+    roll = _rolling(points)
+    rest = [len(data) - 1] if roll[-1] else []
+
+    def ends(size: int) -> np.ndarray:
+        return np.flatnonzero(roll % np.uint32(size) == size - 1)
+
+    def signature(triggers: np.ndarray) -> str:
+        # what follows the last trigger is hashed from the start again, nothing at all if it is the last byte
+        own = triggers[triggers < len(data) - 1] if rest else triggers
+        text = [_B64[x] for x in _piece_hashes(points, np.r_[own, rest].astype(np.int64))] if len(own) or rest else []
+        if rest and len(own) < len(triggers):
+            text.append(_B64[_START])
+        return "".join(text)
+
+    one = ends(size)
+    while size > 3 and min(len(one), 63) + len(rest) < 32:
+        size //= 2
+        one = ends(size)
+    two = one[roll[one] % np.uint32(2 * size) == 2 * size - 1]
+    return size, signature(one[:63]), signature(two[:31])
+
+
+@F.arrow_udf(StructType().add("bs", IntegerType()).add("h1", StringType()).add("h2", StringType()))
+def fuzzy(text: pa.Array) -> pa.Array:
+    rows = [fuzzy_hash((t.as_py() or "").encode()) for t in text]
+    kinds = (pa.int32(), pa.string(), pa.string())
+    return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["bs", "h1", "h2"])
 
 
 def fuzzy_line(h: Column, name: Column) -> Column:

@@ -7,6 +7,7 @@ import gzip
 import hashlib
 from base64 import b32encode
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,43 @@ def test_payloads(spark):
     assert payload.dechunk(b"plain text") == b"plain text"
     assert payload.decompress(gzip.compress(b"x" * 100), "gzip") == (b"x" * 100, None)
     assert payload.decompress(b"\x1f\x8bbroken", None)[1].startswith("gzip")
+
+
+def test_fuzzy_hash_is_that_of_the_bytes_one_by_one():
+    def plain(data: bytes, size: int) -> tuple[str, str]:
+        done = []
+        for factor, most in ((1, 63), (2, 31)):
+            h, window, c, out, roll = 0x28021967, [0] * 7, 0, "", 0
+            for byte in data:
+                window = [*window[1:], byte]
+                c = ((c << 5) & 0xFFFFFFFF) ^ byte
+                roll = (sum(window) + sum((i + 1) * x for i, x in enumerate(window)) + c) & 0xFFFFFFFF
+                h = (h * 0x01000193 & 0xFFFFFFFF) ^ byte
+                if roll % (factor * size) == factor * size - 1 and len(out) < most:
+                    out, h = out + text._B64[h & 63], 0x28021967
+            done.append(out + (text._B64[h & 63] if roll else ""))
+        return tuple(done)
+
+    rng = np.random.default_rng(1)
+    cases = [b"", b"\0", b"a", b"\0" * 40, b"a" * 3000, bytes(range(256)) * 9] + [rng.integers(0, k, n).astype(np.uint8).tobytes() + b"\0" * (n % 9) for k in (2, 26, 256) for n in (1, 6, 7, 8, 50, 191, 193, 900, 2800)]
+    for data in cases:
+        size, one, two = text.fuzzy_hash(data)
+        assert (one, two) == plain(data, size) and (size == 3 or len(one) >= 32)
+
+
+def test_fuzzy_hash_takes_no_step_for_each_byte():
+    import sys
+
+    lines = 0
+
+    def count(frame, event, _):
+        nonlocal lines
+        lines += event == "line"
+        return count
+
+    sys.settrace(count)
+    try:
+        text.fuzzy_hash(b"the quick brown fox " * 5000)
+    finally:
+        sys.settrace(None)
+    assert lines < 2000
