@@ -10,10 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from strandline.functions import batches
+
 #: Characters that are looked at together, unless one text is longer.
 TOGETHER = 1 << 19
 #: Distinct counts that a task holds before it sends them on.
 HELD = 500_000
+#: Counts that go out in one batch.
+SENT = 50_000
 
 
 def folded(text: Column) -> Column:
@@ -49,21 +53,24 @@ def number(names: list[str]) -> np.ndarray:
 def counts(docs: DataFrame, text_col: str, *by: str) -> DataFrame:
     """(by .., ngram, n): summed in each task, then by key."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, list] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for key, parts in held.items():
                 trigram, n = merged(parts)
-                columns = [pa.array([v] * len(n), kind) for v, kind in zip(key, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(name(trigram), pa.string()), pa.array(n)], names=[*by, "ngram", "n"])
+                for i in range(0, len(n), SENT):
+                    some = n[i : i + SENT]
+                    columns = [pa.repeat(pa.scalar(v, kind), len(some)) for v, kind in zip(key, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(name(trigram[i : i + SENT]), pa.string()), pa.array(some)], names=[*by, "ngram", "n"])
             held.clear()
 
-        for batch in batches:
+        for batch in given:
             kinds = [batch.schema.field(c).type for c in by]
-            keys = list(zip(*[batch.column(c).to_pylist() for c in by], strict=True)) if by else [()] * batch.num_rows
-            for first, end, text, trigram in windows(batch.column("text").to_pylist()):
+            every = list(zip(*[batch.column(c).to_pylist() for c in by], strict=True)) if by else [()] * batch.num_rows
+            texts = batch.column("text")
+            for keys, first, end, text, trigram in ((every[a:b], *w) for a, b in batches.runs(texts) for w in windows(texts[a:b].to_pylist())):
                 groups = {k: i for i, k in enumerate(dict.fromkeys(keys[first:end]))}
                 group = np.array([groups[k] for k in keys[first:end]])[text]
                 for k, i in groups.items():
@@ -124,6 +131,16 @@ class Profiles:
         return out
 
 
+def scored(texts: pa.Array, own: Profiles | None) -> pa.Array:
+    """(lang, distance) of each text; a run of texts at a time are Python objects."""
+    least, lang = np.full(len(texts), np.inf), [None] * len(texts)
+    for first, end in batches.runs(texts) if own is not None else ():
+        d = own.distances(texts[first:end].to_pylist())
+        least[first:end] = d.min(1)
+        lang[first:end] = [own.langs[i] if np.isfinite(m) else None for i, m in zip(d.argmin(1), d.min(1), strict=True)]
+    return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(least, pa.float64(), mask=~np.isfinite(least))], ["lang", "distance"])
+
+
 def nearest(text: Column, profiles: DataFrame, most: int = 2_000_000) -> Column:
     """Struct (lang, distance) of the profile (lang, ngram, n) whose frequencies are nearest; null for a text without a trigram.
 
@@ -134,16 +151,8 @@ def nearest(text: Column, profiles: DataFrame, most: int = 2_000_000) -> Column:
         raise ValueError(f"the profiles have more than {most} rows")
     shared = profiles.sparkSession.sparkContext.broadcast(Profiles([tuple(r) for r in rows]) if rows else None)
 
-    @F.pandas_udf(StructType().add("lang", StringType()).add("distance", DoubleType()))
-    def found(texts):
-        import pandas as pd
-
-        own = shared.value
-        if own is None:
-            return pd.DataFrame({"lang": [None] * len(texts), "distance": [None] * len(texts)}).astype({"lang": object, "distance": float})
-        d = own.distances(texts.tolist())
-        least = d.min(1)
-        lang = [own.langs[i] if np.isfinite(m) else None for i, m in zip(d.argmin(1), least, strict=True)]
-        return pd.DataFrame({"lang": lang, "distance": np.where(np.isfinite(least), least, np.nan)})
+    @F.arrow_udf(StructType().add("lang", StringType()).add("distance", DoubleType()))
+    def found(texts: pa.Array) -> pa.Array:
+        return scored(texts, shared.value)
 
     return found.asNondeterministic()(folded(text))  # else a filter on the result would have it computed twice

@@ -8,6 +8,7 @@ import hashlib
 from base64 import b32encode
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +186,14 @@ def test_fuzzy_hash_takes_no_step_for_each_byte():
     finally:
         sys.settrace(None)
     assert lines < 2000
+
+
+def test_texts_are_compared_in_runs(monkeypatch):
+    from strandline.functions import trigrams
+
+    longest, plain = [], trigrams.Profiles.distances
+    monkeypatch.setattr(trigrams.Profiles, "distances", lambda self, texts: longest.append(len(texts)) or plain(self, texts))
+    texts = ["the " * 100_000, "der " * 100_000, None, "", "the " * 100_000] * 2
+    own = trigrams.Profiles([("en", "the", 5), ("de", "der", 9)])
+    got = trigrams.scored(pa.array(texts), own).to_pylist()
+    assert [r["lang"] for r in got] == ["en", "de", None, None, "en"] * 2 and max(longest) < len(texts)
